@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia.functions.ids import canonical_id
-from marginalia.llm import names
+from marginalia.llm import markup, names
 from marginalia.sources.tables import table
 
 
@@ -24,5 +24,20 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return people.unionByName(named.select(F.lit("org").alias("entity_kind"), F.col("mention_id").cast("string").alias("key_1"), F.col("institution_id").alias("key_2")))
 
 
-QUERIES = {f.__name__: f for f in (p5_found,)}
+def _fields(spark: SparkSession, d: str) -> DataFrame:
+    fields = F.explode(F.array(*[F.struct(F.lit(c).alias("field_name"), F.col(c).alias("text")) for c in ("title", "abstract_text")])).alias("f")
+    return table(spark, d, "works").select(canonical_id(F.col("work_id")).alias("work_id"), fields).select("work_id", "f.field_name", "f.text").where(F.col("work_id").isNotNull())
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Titles and abstracts that hold markup in any row of the work."""
+    return markup.clean_texts(_fields(spark, d)).where(F.size("markup") > 0).select("work_id", "field_name").distinct()
+
+
+def p6_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The clean text of every title and abstract that holds markup, distinct, with the families of markup found."""
+    return markup.clean_texts(_fields(spark, d)).where(F.size("markup") > 0).select("work_id", "field_name", "clean_text", F.array_join("markup", " ").alias("markup")).distinct()
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p6_found, p6_clean)}
 ORACLE: dict[str, str] = {}
