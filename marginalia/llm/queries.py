@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia.functions.ids import canonical_id
-from marginalia.llm import markup, names
+from marginalia.llm import markup, names, neighbours
 from marginalia.sources.tables import table
 
 
@@ -39,5 +39,12 @@ def p6_clean(spark: SparkSession, d: str) -> DataFrame:
     return markup.clean_texts(_fields(spark, d)).where(F.size("markup") > 0).select("work_id", "field_name", "clean_text", F.array_join("markup", " ").alias("markup")).distinct()
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p6_found, p6_clean)}
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of works of which one is among the five most similar to the other."""
+    rows = table(spark, d, "work_vectors").select(canonical_id(F.col("work_id")).alias("work_id"), "embedding")
+    found = neighbours.nearest(neighbours.unit_vectors(rows, "work_id", "embedding"), 5)
+    return found.select(F.least("id", "other").alias("work_id_1"), F.greatest("id", "other").alias("work_id_2")).distinct()
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p6_found, p6_clean, p7_found)}
 ORACLE: dict[str, str] = {}
