@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,3 +24,15 @@ def cut(df: DataFrame) -> DataFrame:
         conf = context.getConf()
         context.setCheckpointDir(conf.get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="marginalia-"))
     return df.checkpoint(eager=True)
+
+
+def bounded_sample(df: DataFrame, rows: int, *by: str) -> DataFrame:
+    """At most `rows` rows of `df`, those of the smallest hash of the columns `by`; all of a smaller table.
+
+    Rows are first thinned by the hash to about twice the number, so that no task sends more than its share.
+    """
+    n = df.count()
+    key = F.xxhash64(*by)
+    if n > 2 * rows:
+        df = df.where(F.pmod(key, F.lit(1_000_003)) < int(1_000_003 * 2 * rows / n))
+    return df.orderBy(key, *by).limit(rows)
