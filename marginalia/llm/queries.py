@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia.functions.ids import canonical_id
-from marginalia.llm import markup, names, neighbours
+from marginalia.llm import markup, names, neighbours, packing, subjects, tokens
 from marginalia.sources.tables import table
 
 
@@ -46,5 +46,29 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return found.select(F.least("id", "other").alias("work_id_1"), F.greatest("id", "other").alias("work_id_2")).distinct()
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p6_found, p6_clean, p7_found)}
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    """The token ids of every document."""
+    return tokens.encode_texts(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", "ids")
+
+
+def p9_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Every document, or its pieces, in a container of each kind."""
+    sized = tokens.count_tokens(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", "n_tokens")
+    return packing.pack(sized, table(spark, d, "container_sizes"))
+
+
+def p9_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Containers, tokens and share of unused space by kind."""
+    held = p9_containers(spark, d).where(F.col("container_id").isNotNull()).groupBy("container_kind", "container_id").agg(F.sum("n_tokens").alias("n")).groupBy("container_kind").agg(F.count(F.lit(1)).alias("n_containers"), F.sum("n").alias("n_tokens"))
+    kinds = table(spark, d, "container_sizes").select("container_kind", "capacity_tokens").distinct()
+    return held.join(kinds, "container_kind").select("container_kind", "n_containers", "n_tokens", F.round(1 - F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens")), 6).alias("unused_share"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """The subjects of every document."""
+    works = table(spark, d, "works").select("work_id", F.concat_ws(". ", "title", "abstract_text").alias("text"), F.col("primary_topic_field_id").alias("field_id"), F.col("primary_topic_field_display_name").alias("field_name"))
+    return subjects.subjects_of(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "subject_areas"), table(spark, d, "subject_labels"), works)
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p6_found, p6_clean, p7_found, p8_ids, p9_containers, p9_fill, p10_found)}
 ORACLE: dict[str, str] = {}
