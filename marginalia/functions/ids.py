@@ -9,18 +9,15 @@ from pyspark.sql import functions as F
 RECORD_ID = r"^\s*(?:[A-Za-z][A-Za-z0-9+.\-]*://[^/\s]+/(?:[^/\s]+/)*)?([A-Za-z])0*([0-9]+)/*\s*$"
 
 
-def _letter(c: Column) -> Column:
-    return F.upper(F.regexp_extract(c, RECORD_ID, 1))
-
-
 def canonical_id(c: Column) -> Column:
     """The bare id, letter in upper case, no leading zeros.
 
     Null, empty and blank ids give null. Text that is no record id is kept, trimmed, so that it still compares
     with itself.
     """
-    bare = F.concat(_letter(c), F.regexp_extract(c, RECORD_ID, 2))
-    return F.nullif(F.coalesce(F.nullif(bare, F.lit("")), F.regexp_replace(c, r"^\s+|\s+$", "")), F.lit(""))
+    bare = F.regexp_replace(c, RECORD_ID, "$1$2")
+    other = F.nullif(F.regexp_replace(c, r"^\s+|\s+$", ""), F.lit(""))
+    return F.when(c.rlike("^[A-Z][1-9][0-9]*$"), c).when(bare.rlike("^[A-Za-z][0-9]+$"), F.upper(bare)).otherwise(other)
 
 
 def id_space(canonical: Column) -> Column:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
+import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,17 +17,40 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir, which a cluster sets; where it is unset a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="marginalia-"))
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage of `df` with a reliable checkpoint.
+    """Cut the lineage of `df`: it is written to the shared folder, once, and read from there.
 
-    The files go to spark.checkpoint.dir, which a cluster sets to a folder that all executors share. Only where
-    nothing is set (tests, a laptop) a temporary folder is taken.
+    A parquet table takes a fraction of the space of an RDD checkpoint, and its size is known to later joins. The
+    tables of an application are removed when it ends.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        conf = context.getConf()
-        context.setCheckpointDir(conf.get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="marginalia-"))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    context = spark.sparkContext
+    folder = f"{shared_folder(spark)}/marginalia-{context.applicationId}"
+    if folder not in _FOLDERS:
+        _FOLDERS.add(folder)
+        atexit.register(_remove, context, folder)
+    path = f"{folder}/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_FOLDERS: set[str] = set()
+
+
+def _remove(context: SparkContext, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the application may have ended before
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bounded_sample(df: DataFrame, rows: int, *by: str) -> DataFrame:
