@@ -26,7 +26,7 @@ import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Folder of the public vocabularies; a parameter of every function.
 VOCABULARIES = "/opt/tokenizers"
@@ -110,7 +110,7 @@ def encoder(vocabulary: str = "byte_bpe_50k", folder: str = VOCABULARIES) -> Enc
 def _encoded(texts: DataFrame, text: str, outcome: str, vocabulary: str, folder: str) -> DataFrame:
     kept = [c for c in texts.columns if c != outcome]
     ids = outcome == "ids"
-    schema = texts.select(*kept).schema.add(outcome, "array<int>" if ids else "long")
+    schema = texts.select(*kept).schema.add(outcome, T.ArrayType(T.IntegerType()) if ids else T.LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(vocabulary, folder)
