@@ -208,9 +208,9 @@ def registry(institutions: DataFrame) -> DataFrame:
 
 
 def link_organisations(mentions: DataFrame, institutions: DataFrame) -> DataFrame:
-    """(mention_id, institution_id): the registered institutions that strings of a mention name.
+    """The columns of `mentions` but text, and institution_id: the registered institutions that strings of a mention name.
 
-    `mentions`: mention_id, text. Null and empty texts name nothing; repeated rows change nothing; a text may name
+    `mentions`: text and columns that tell the mention. Null and empty texts name nothing; repeated rows change nothing; a text may name
     several. Of places one edit away from the text, those spelled exactly win, then those of the country that the text
     names; a text whose misspelt place fits several institutions still names none of them. An empty registry or empty
     mentions give no row.
@@ -242,122 +242,195 @@ def link_organisations(mentions: DataFrame, institutions: DataFrame) -> DataFram
         single = ranked.withColumn("fits", F.size(F.collect_set("anchor").over(Window.partitionBy("segment", "word")))).where((F.col("edits") == 0) | (F.col("fits") == 1))
         new = cut(single.select("segment", "institution_id", "word", "anchor", "edits").distinct())
         found = new if found is None else found.unionByName(new)
-        # spellings of merged segments, where the misspelt word was seen with one place only
-        learned = new.where(F.col("edits") > 0).groupBy("word").agg(F.min("anchor").alias("element"), F.count_distinct("anchor").alias("n")).where(F.col("n") == 1).select("word", "element")
+        # spellings of merged segments, where the misspelt word is near one element only
+        alone = looked.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 1).select("word")
+        learned = new.where(F.col("edits") > 0).select("word", F.col("anchor").alias("element")).distinct().join(alone, "word", "left_semi")
         learned = learned.join(vocabulary, ["word", "element"], "left_anti")
         rest = rest.join(new.select("segment"), "segment", "left_anti")
         if learned.isEmpty() or rest.isEmpty():
             break
         vocabulary, rest = cut(vocabulary.unionByName(learned)), cut(rest)
     named = found.join(segments.select("segment", "text"), "segment").select("text", "institution_id").distinct()
-    return mentions.join(named, "text").select("mention_id", "institution_id").distinct()
+    return mentions.join(named, "text").drop("text").distinct()
 
 
 # ---- people ----
 
+_FORM = T.StructType([T.StructField(n, T.StringType()) for n in ("surname", "given")])
+_STRINGS = T.ArrayType(T.StringType())
+#: Pairs of neighbouring surnames up to which they travel by broadcast; beyond, both sides are shuffled.
+NEAR_PAIRS = 200_000
+
 
 def _given_words(spellings: DataFrame) -> frozenset[str]:
     """The words that stand first in two-word names much more often than last, the most frequent GIVEN_WORDS."""
-    two = F.regexp_extract_all(F.lower("spelling"), F.lit(r"([\p{L}'-]{2,})"), F.lit(1))
-    plain = spellings.where(F.col("spelling").rlike(r"^\s*[\p{L}'-]{2,}\s+[\p{L}'-]{2,}\s*$")).select(two.alias("w"))
+    words = F.split(F.lower(F.trim("spelling")), r"\s+")
+    plain = spellings.select(words.alias("w")).where((F.size("w") == 2) & ~F.col("w")[0].contains(",") & (F.length(F.col("w")[0]) > 2) & (F.length(F.col("w")[1]) > 2))
     ends = plain.select(F.explode(F.array(F.struct(F.col("w")[0].alias("word"), F.lit(1).alias("first")), F.struct(F.col("w")[1].alias("word"), F.lit(0).alias("first")))).alias("e")).select("e.*")
     counts = ends.groupBy("word").agg(F.sum("first").alias("first"), F.count(F.lit(1)).alias("n"))
     top = counts.where((F.col("n") >= 5) & (F.col("first") * 4 >= F.col("n") * 3)).orderBy(F.desc("first"), "word").limit(GIVEN_WORDS)
     return frozenset(re.sub("['-]", "", fold_accents(r["word"])).lower() for r in top.collect())
 
 
-def name_forms(spellings: DataFrame) -> DataFrame:
-    """(person, surname, given, middle) of (person, spelling), distinct; texts without a letter give no row."""
-    words = _given_words(spellings.select("spelling"))
+def edited(a: str, b: str) -> bool:
+    """Whether two words are equal, one edit or one swap of neighbours apart."""
+    if a == b:
+        return True
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1:
+        return False
+    i = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), len(a))
+    if len(a) == len(b):
+        return a[i + 1 :] == b[i + 1 :] or (a[i + 1 : i + 2] == b[i] and b[i + 1 : i + 2] == a[i] and a[i + 2 :] == b[i + 2 :])
+    return a[i:] == b[i + 1 :]
+
+
+def leading_forms(parsed: list[tuple[str, str, str]]) -> list[tuple[str, str]]:
+    """The forms (surname, given) that a person enters blocks with, of one parsed name per spelling.
+
+    Left out are initials where the surname stands with a given name of that initial, and forms one edit from a form
+    that more spellings of the person have: they are found through that one.
+    """
+    counts: dict[tuple[str, str], int] = {}
+    for surname, given, _ in parsed:
+        counts[surname, given] = counts.get((surname, given), 0) + 1
+    full = {(s, g[0]) for s, g in counts if len(g) > 1}
+    kept = [f for f in counts if len(f[1]) > 1 or (f[0], f[1][:1]) not in full]
+
+    def slip(f: tuple[str, str], of: tuple[str, str]) -> bool:
+        alike = f[1][:1] == of[1][:1] if min(len(f[1]), len(of[1])) <= 1 else edited(f[1], of[1])
+        return counts[f] < counts[of] and edited(f[0], of[0]) and min(len(f[0]), len(of[0])) >= 5 and alike and (len(of[1]) > 1 or len(f[1]) <= 1)
+
+    return sorted(f for f in kept if not any(slip(f, of) for of in kept if of != f))
+
+
+def profiles(records: DataFrame) -> DataFrame:
+    """(person, forms, givens, middles, places, orcids): what is known of each person, as distinct folded values.
+
+    `records`: person, spellings and places (arrays), orcid; nulls and empty strings in any of them are passed over.
+    Persons with neither a name nor an ORCID are left out.
+    """
+    flat = lambda c: F.array_distinct(F.filter(F.flatten(F.collect_set(c)), lambda x: x != ""))
+    known = records.where(F.col("person") != "").groupBy("person").agg(flat("spellings").alias("spellings"), flat("places").alias("places"), F.filter(F.collect_set("orcid"), lambda x: x != "").alias("orcids"))
+    known = cut(known)
+    words = _given_words(known.select(F.explode("spellings").alias("spelling")))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            parsed = [parse_name(s, words) for s in frame["spelling"]]
-            keep = [i for i, p in enumerate(parsed) if p]
-            yield pd.DataFrame({"person": frame["person"].iloc[keep].to_numpy(), **{n: [parsed[i][k] for i in keep] for k, n in enumerate(("surname", "given", "middle"))}})
-
-    return spellings.mapInPandas(run, "person string, surname string, given string, middle string").distinct()
-
-
-def _match_round(forms: DataFrame, places: DataFrame, orcids: DataFrame, near: DataFrame, fresh: DataFrame | None) -> DataFrame:
-    """(a, b), a < b: profiles to merge. With `fresh` (person), only pairs that hold one of these."""
-    profiles = forms.groupBy("person").agg(
-        F.collect_set(F.when(F.length("given") > 1, F.col("given"))).alias("givens"),
-        F.collect_set(F.when(F.length("middle") > 0, F.col("middle"))).alias("middles"),
-    ).join(orcids.groupBy("person").agg(F.collect_set("orcid").alias("orcids")), "person", "left").withColumn("orcids", F.coalesce("orcids", F.array().cast("array<string>")))
-    placed = forms.join(places, "person").join(orcids, "person", "left")
-    # equal forms at one place: the class is linked to its smallest member
-    kind = ["surname", "given", "middle", "place", "orcid"]
-    members = placed.select("person", *kind)
-    classes = members.groupBy(*kind).agg(F.min("person").alias("head"), F.max("person").alias("tail"))
-    starred = members.join(classes.where(F.col("head") != F.col("tail")).withColumnRenamed("orcid", "_o").alias("c"), [*kind[:-1]]).where(F.col("orcid").eqNullSafe(F.col("_o")) & (F.col("person") != F.col("head"))).select(F.col("head").alias("a"), F.col("person").alias("b"))
-    heads = classes.select("surname", "given", "middle", "place", F.col("head").alias("person")).distinct()
-    reach = heads.select("surname").distinct().select(F.col("surname").alias("word"), F.col("surname").alias("near")).unionByName(near)
-    left = heads if fresh is None else heads.join(fresh, "person", "left_semi")
-    left = left.join(reach, F.col("surname") == F.col("word")).select(F.col("near").alias("surname"), "place", F.col("given").alias("g1"), F.col("person").alias("p1"))
-    pairs = left.join(heads.select("surname", "place", F.col("given").alias("g2"), F.col("person").alias("p2")), ["surname", "place"]).where(F.col("p1") != F.col("p2"))
+            parsed = [[p for p in (parse_name(s, words) for s in names) if p] for names in frame["spellings"]]
+            keep = [i for i, p in enumerate(parsed) if p or len(frame["orcids"].iloc[i])]
+            yield pd.DataFrame({
+                "person": frame["person"].iloc[keep].to_numpy(),
+                "forms": [[{"surname": s, "given": g} for s, g in leading_forms(parsed[i])] for i in keep],
+                "givens": [sorted({p[1] for p in parsed[i] if len(p[1]) > 1}) for i in keep],
+                "middles": [sorted({c for p in parsed[i] for c in p[2]}) for i in keep],
+                "places": frame["places"].iloc[keep].to_numpy(), "orcids": frame["orcids"].iloc[keep].to_numpy(),
+            })
+
+    schema = T.StructType([T.StructField("person", T.StringType()), T.StructField("forms", T.ArrayType(_FORM)), *[T.StructField(n, _STRINGS) for n in ("givens", "middles", "places", "orcids")]])
+    return known.mapInPandas(run, schema)
+
+
+def _placed(people: DataFrame) -> DataFrame:
+    """One row for each form and place of a person, with what decides a match."""
+    spread = people.select("person", F.struct("person", "givens", "middles", "orcids").alias("who"), F.explode("forms").alias("form"), "places")
+    return spread.select("person", "who", "form.*", F.explode("places").alias("place"))
+
+
+def _alike(x: Column, y: Column) -> Column:
+    return (x == y) | ((F.least(F.length(x), F.length(y)) >= 4) & one_edit(x, y))
+
+
+def _agreed(edges: DataFrame) -> DataFrame:
+    """Of (w1, w2), profiles that met in a block, the pairs (a, b) to merge, a < b."""
+    one, two = F.col("w1"), F.col("w2")
+
+    def clash(name: str) -> Column:
+        return (F.size(one[name]) > 0) & (F.size(two[name]) > 0) & ~F.arrays_overlap(one[name], two[name])
+
+    full_1, full_2 = F.size(one["givens"]) > 0, F.size(two["givens"]) > 0
+    same_orcid = F.arrays_overlap(one["orcids"], two["orcids"])
+    agree = F.exists(one["givens"], lambda x: F.exists(two["givens"], lambda y: _alike(x, y)))
+    kept = edges.where(same_orcid | (~clash("orcids") & ~clash("middles") & (~(full_1 & full_2) | agree)))
+    a, b = F.least(one["person"], two["person"]), F.greatest(one["person"], two["person"])
+    strong = same_orcid | (full_1 & full_2)
+    flat = kept.select(a.alias("a"), b.alias("b"), strong.alias("strong"), F.when(full_1, two["person"]).otherwise(one["person"]).alias("poor"), F.when(full_1, one["person"]).otherwise(two["person"]).alias("rich"), F.when(full_1, one["givens"]).otherwise(two["givens"]).alias("givens"))
+    flat = cut(flat.distinct())
+    # a profile known by initials only: merged if all its candidates share a given name, or have none either
+    weak = flat.where(~F.col("strong")).select("poor", "rich", F.explode_outer("givens").alias("given")).distinct()
+    votes = weak.groupBy("poor", "given").agg(F.count(F.lit(1)).alias("n")).groupBy("poor").agg(F.max("n").alias("agreed"))
+    sure = votes.join(weak.groupBy("poor").agg(F.count_distinct("rich").alias("riches")), "poor").where(F.col("agreed") == F.col("riches")).select("poor")
+    return flat.where("strong").select("a", "b").unionByName(flat.where(~F.col("strong")).join(sure, "poor", "left_semi").select("a", "b"))
+
+
+def _moved(placed: DataFrame, near: DataFrame) -> DataFrame:
+    """Forms under the surnames near their own."""
+    return placed.join(near, F.col("surname") == F.col("word")).select("who", F.col("near").alias("surname"), "given", "place")
+
+
+def _meet(fresh: DataFrame, heads: DataFrame) -> DataFrame:
+    """(w1, w2) of fresh forms and known heads of one surname at one place whose given names may be one."""
+    asked = fresh.select("surname", "place", F.col("given").alias("g1"), F.col("who").alias("w1"))
+    pairs = asked.join(heads.select("surname", "place", F.col("given").alias("g2"), F.col("who").alias("w2")), ["surname", "place"]).where(F.col("w1.person") != F.col("w2.person"))
     g1, g2 = F.col("g1"), F.col("g2")
     initial = (F.length(g1) <= 1) | (F.length(g2) <= 1)
-    alike = F.when(initial, (F.substring(g1, 1, 1) == F.substring(g2, 1, 1))).otherwise((g1 == g2) | ((F.least(F.length(g1), F.length(g2)) >= 4) & one_edit(g1, g2)))
-    met = pairs.where(alike).select(F.least("p1", "p2").alias("a"), F.greatest("p1", "p2").alias("b"))
-    shared = orcids.groupBy("orcid").agg(F.min("person").alias("a"), F.max("person").alias("z")).where(F.col("a") != F.col("z"))
-    by_orcid = orcids.join(shared, "orcid").where(F.col("person") != F.col("a")).select("a", F.col("person").alias("b"))
-    edges = met.unionByName(starred).unionByName(by_orcid).distinct()
-    sides = edges.join(profiles.select(F.col("person").alias("a"), *[F.col(c).alias(f"{c}_a") for c in ("givens", "middles", "orcids")]), "a").join(profiles.select(F.col("person").alias("b"), *[F.col(c).alias(f"{c}_b") for c in ("givens", "middles", "orcids")]), "b")
+    return pairs.where(F.when(initial, F.substring(g1, 1, 1) == F.substring(g2, 1, 1)).otherwise(_alike(g1, g2))).select("w1", "w2")
 
-    def clash(name: str) -> Column:
-        a, b = F.col(f"{name}_a"), F.col(f"{name}_b")
-        return (F.size(a) > 0) & (F.size(b) > 0) & ~F.arrays_overlap(a, b)
-
-    same_orcid = F.arrays_overlap("orcids_a", "orcids_b")
-    agree = F.exists("givens_a", lambda x: F.exists("givens_b", lambda y: (x == y) | ((F.least(F.length(x), F.length(y)) >= 4) & one_edit(x, y))))
-    full_a, full_b = F.size("givens_a") > 0, F.size("givens_b") > 0
-    kept = sides.where(same_orcid | (~clash("orcids") & ~clash("middles") & (~(full_a & full_b) | agree))).withColumn("weak", ~same_orcid & ~(full_a & full_b))
-    # a profile known by initials only: merged if its full-named candidates share a given name
-    weak = kept.where("weak").select(F.when(full_a, F.col("b")).otherwise(F.col("a")).alias("poor"), F.explode_outer(F.when(full_a, F.col("givens_a")).when(full_b, F.col("givens_b"))).alias("given"), F.when(full_a, F.col("a")).otherwise(F.col("b")).alias("rich"))
-    votes = weak.groupBy("poor", "given").agg(F.count_distinct("rich").alias("n")).groupBy("poor").agg(F.max("n").alias("agreed"))
-    sizes = weak.groupBy("poor").agg(F.count_distinct("rich").alias("riches"))
-    sure = votes.join(sizes, "poor").where(F.col("agreed") == F.col("riches")).select("poor")
-    poor = F.when(F.col("weak"), F.when(full_a, F.col("b")).otherwise(F.col("a")))
-    return kept.withColumn("poor", poor).join(sure.withColumnRenamed("poor", "ok"), F.col("poor") == F.col("ok"), "left").where(~F.col("weak") | F.col("ok").isNotNull()).select("a", "b").distinct()
-
-
-def resolve_people(spellings: DataFrame, places: DataFrame, orcids: DataFrame) -> DataFrame:
+
+def components(edges: DataFrame) -> DataFrame:
+    """(person, entity) of (a, b): entity is the smallest person that a chain of edges reaches, and itself no row."""
+    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = cut(both.groupBy(F.col("a").alias("person")).agg(F.least(F.min("b"), F.col("person")).alias("entity")))
+    while True:
+        heard = both.join(labels.select(F.col("person").alias("b"), "entity"), "b").groupBy(F.col("a").alias("person")).agg(F.min("entity").alias("heard"))
+        step = labels.join(heard, "person").select("person", F.col("entity").alias("was"), F.least("entity", "heard").alias("entity"))
+        jump = step.join(labels.select(F.col("person").alias("entity"), F.col("entity").alias("far")), "entity", "left").select("person", "was", F.least("entity", F.coalesce("far", "entity")).alias("entity"))
+        jump = cut(jump)
+        labels = jump.select("person", "entity")
+        if jump.where(F.col("was") != F.col("entity")).isEmpty():
+            return labels.where(F.col("person") != F.col("entity"))
+
+
+def resolve_people(records: DataFrame) -> DataFrame:
     """(person, entity): the entity of every person that was merged with another one; entity is its smallest person.
 
-    `spellings`: person, spelling; `places`: person, place; `orcids`: person, orcid; repeated rows and rows with nulls
-    or empty strings are passed over. Persons that match nobody have no row. Empty tables give no row.
+    `records`: person, spellings and places (arrays of strings), orcid; one row as delivered, repeated rows change
+    nothing, nulls and empty strings are passed over. Persons that match nobody have no row, nor has an empty table.
     """
-    filled = lambda df, c: df.where((F.col("person") != "") & (F.col(c) != "")).select("person", c).distinct()
-    forms, places, orcids = cut(name_forms(filled(spellings, "spelling"))), cut(filled(places, "place")), cut(filled(orcids, "orcid"))
-    surnames = forms.select(F.col("surname").alias("word")).distinct()
+    people = cut(profiles(records))
+    placed = _placed(people).repartition("surname", "place")
+    # equal forms at one place: the class is linked to its smallest member, which speaks for it
+    classes = Window.partitionBy("surname", "place", "given", F.col("who.middles"), F.col("who.orcids")).orderBy("person")
+    placed = cut(placed.withColumn("head", F.first("who").over(classes)))
+    starred = placed.where(F.col("person") != F.col("head.person")).select(F.col("head").alias("w1"), F.col("who").alias("w2"))
+    heads = placed.where(F.col("person") == F.col("head.person")).drop("head")
+    surnames = heads.select(F.col("surname").alias("word")).distinct()
     near = cut(neighbours(surnames, surnames, 5))
-    entity: DataFrame | None = None
-    fresh: DataFrame | None = None
+    if near.count() <= NEAR_PAIRS:
+        near = F.broadcast(near)
+    by_orcid = people.select("person", F.explode("orcids").alias("orcid")).withColumn("a", F.min("person").over(Window.partitionBy("orcid"))).where(F.col("person") != F.col("a")).select("a", F.col("person").alias("b"))
+    # each pair of equal surnames, and each pair of near ones, is met once
+    equal = _meet(heads, heads).where(F.col("w1.person") < F.col("w2.person"))
+    typed = _meet(_moved(heads, near.where(F.col("word") < F.col("near"))), heads)
+    edges = cut(_agreed(equal.unionByName(typed).unionByName(starred)).unionByName(by_orcid).distinct())
     while True:
-        edges = cut(_match_round(forms, places, orcids, near, fresh))
-        if edges.isEmpty():
-            break
-        # each profile joins the smallest it met, and that one's choice
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        step = both.groupBy(F.col("a").alias("person")).agg(F.least(F.min("b"), F.col("person")).alias("to"))
-        hop = step.alias("x").join(step.alias("y"), F.col("x.to") == F.col("y.person"), "left").select(F.col("x.person").alias("person"), F.coalesce("y.to", "x.to").alias("to"))
-        moves = cut(hop.where(F.col("person") != F.col("to")))
-        if entity is None:
-            entity = moves.withColumnRenamed("to", "entity")
-        else:
-            held = entity.join(moves.withColumnRenamed("person", "entity"), "entity", "left").select("person", F.coalesce("to", "entity").alias("entity"))
-            entity = held.unionByName(moves.withColumnRenamed("to", "entity").join(held, "person", "left_anti"))
-        entity = cut(entity)
-
-        def moved(df: DataFrame, moves: DataFrame = moves) -> DataFrame:
-            columns = df.columns[1:]
-            return cut(df.join(moves, "person", "left").select(F.coalesce("to", "person").alias("person"), *columns).distinct())
-
-        forms, places, orcids = moved(forms), moved(places), moved(orcids)
-        fresh = moves.select(F.col("to").alias("person")).distinct()
-    empty = spellings.sparkSession.createDataFrame([], "person string, entity string")
-    return empty if entity is None else entity
+        entity = cut(components(edges))
+        # merged profiles hold the union of their members' forms and places; only new combinations are blocked again
+        members = cut(entity.unionByName(entity.select(F.col("entity").alias("person"), "entity").distinct()).join(people, "person"))
+        union = lambda c: F.array_distinct(F.flatten(F.collect_list(c))).alias(c)
+        merged = members.groupBy("entity").agg(*[union(c) for c in ("forms", "givens", "middles", "places", "orcids")]).withColumnRenamed("entity", "person")
+        seen = members.select(F.col("entity").alias("person"), F.explode("forms").alias("form"), "places").select("person", "form.*", F.explode("places").alias("place")).distinct()
+        fresh = cut(_placed(merged).join(seen, ["person", "surname", "given", "place"], "left_anti"))
+        if fresh.isEmpty():
+            return entity
+        known = fresh.select("who", "surname", "given", "place")
+        met = _meet(known.unionByName(_moved(fresh, near)), heads).join(entity.select(F.col("person").alias("_p"), F.col("entity").alias("_e")), F.col("w2.person") == F.col("_p"), "left")
+        met = met.where(F.col("w1.person") != F.coalesce("_e", F.col("w2.person"))).select("w1", "w2")
+        new = cut(_agreed(met).join(edges, ["a", "b"], "left_anti"))
+        if new.isEmpty():
+            return entity
+        edges = cut(edges.unionByName(new))
 
 
 def entity_pairs(entity: DataFrame) -> DataFrame:

@@ -14,14 +14,14 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Author ids of one person, and unmatched authorships with the registered institutions they name."""
     rows, registered = table(spark, d, "work_authorships"), table(spark, d, "institutions_ref")
     person = canonical_id(F.col("author_id")).alias("person")
-    texts = rows.where(F.col("institution_ids").isNull()).select("authorship_id", F.explode("raw_affiliation_strings").alias("text")).where(F.col("text") != "").distinct()
-    named = names.cut(names.link_organisations(texts.select(F.col("authorship_id").alias("mention_id"), "text"), registered))
-    spellings = rows.select(person, F.explode(F.array("author_display_name", "raw_author_name")).alias("spelling"))
-    listed = rows.select(person, F.explode("institution_ids").alias("place")).select("person", canonical_id(F.col("place")).alias("place")).distinct()
-    told = rows.where(F.col("institution_ids").isNull()).select("authorship_id", person).join(named, F.col("authorship_id") == F.col("mention_id")).select("person", F.col("institution_id").alias("place"))
-    entity = names.resolve_people(spellings, listed.unionByName(told), rows.select(person, F.col("author_orcid").alias("orcid")))
-    people = names.entity_pairs(entity).select(F.lit("person").alias("entity_kind"), "key_1", "key_2")
-    return people.unionByName(named.select(F.lit("org").alias("entity_kind"), F.col("mention_id").cast("string").alias("key_1"), F.col("institution_id").alias("key_2")))
+    texts = rows.where(F.col("institution_ids").isNull()).select("authorship_id", "author_id", F.explode("raw_affiliation_strings").alias("text")).where(F.col("text") != "")
+    named = names.cut(names.link_organisations(texts, registered))
+    delivered = rows.select(person, F.array("author_display_name", "raw_author_name").alias("spellings"), F.transform("institution_ids", canonical_id).alias("places"), F.col("author_orcid").alias("orcid"))
+    # a place that a string names counts like a listed one
+    told = named.select(person, F.array().cast("array<string>").alias("spellings"), F.array("institution_id").alias("places"), F.lit(None).cast("string").alias("orcid"))
+    people = names.entity_pairs(names.resolve_people(delivered.unionByName(told))).select(F.lit("person").alias("entity_kind"), "key_1", "key_2")
+    organisations = named.select(F.lit("org").alias("entity_kind"), F.col("authorship_id").cast("string").alias("key_1"), F.col("institution_id").alias("key_2")).distinct()
+    return people.unionByName(organisations)
 
 
 def _fields(spark: SparkSession, d: str) -> DataFrame:
