@@ -252,7 +252,7 @@ def _latex(text: str) -> str:
 
 
 def _wiki(text: str) -> str:
-    text = re.sub(r"(?m)^(={2,6})\s*([^=\n]+?)\s*\1\s*$", lambda m: "#" * len(m.group(1)) + " " + m.group(2), text)
+    text = re.sub(r"(?m)^(={2,6})[ \t]*([^=\n]+?)[ \t]*\1[ \t]*$", lambda m: "#" * len(m.group(1)) + " " + m.group(2), text)
     text = re.sub(r"\{\|[^\n]*\n(.*?)\|\}", lambda m: re.sub(r"(?m)^(?:\|-.*|[|!]\s?)", "| ", m.group(1)), text, flags=re.S)
     text = re.sub(r"\[\[(?:Category|File|Image):[^\[\]]*\]\]", "", text)
     text = re.sub(r"\[\[(?!\s*-?\d+\s*,)(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", r"\1", text)
@@ -265,12 +265,12 @@ def _markdown(text: str) -> str:
     for i in range(0, len(kept), 2):
         s = re.sub(r"!\[([^\[\]\n]*)\]\([^()\n]*\)", r"\1", kept[i])
         s = re.sub(r"\[([^\[\]\n]+)\](?:\((?:https?://|www\.|/|#|mailto:|\.)[^\s)]*\)|\[[^\[\]\s,]*\])", r"\1", s)
-        s = re.sub(r"(?m)^\s{0,3}\[[^\]\n]+\]:\s*\S+.*$", "", s)
+        s = re.sub(r"(?m)^ {0,3}\[[^\]\n]+\]:[ \t]*\S+.*$", "", s)
         s = re.sub(r"(?<![\w*])(\*{1,3})(?=[^\s*])([^*\n]*[^\s*])\1(?![\w*])", r"\2", s)
         s = re.sub(r"(?<![\w_])(_{1,3})(?=[^\s_])([^_\n]*[^\s_])\1(?![\w_])", r"\2", s)
         s = re.sub(r"~~([^~]*)~~", r"\1", s)
-        s = re.sub(r"(?m)^(\S[^\n]*)\n\s{0,3}(=|-){3,}\s*$", lambda m: ("# " if m.group(2) == "=" else "## ") + m.group(1), s)
-        kept[i] = re.sub(r"(?m)^\s{0,3}[*+](?=[ \t]+\S)", "-", s)
+        s = re.sub(r"(?m)^(\S[^\n]*)\n {0,3}(=|-){3,}[ \t]*$", lambda m: ("# " if m.group(2) == "=" else "## ") + m.group(1), s)
+        kept[i] = re.sub(r"(?m)^ {0,3}[*+](?=[ \t]+\S)", "-", s)
     return "".join(kept)
 
 
@@ -287,7 +287,7 @@ def clean_text(text: str | None) -> str | None:
         plain = re.sub(r"\\u003([ce])", lambda m: "<" if m.group(1) in "cC" else ">", text, flags=re.I)
         plain = re.sub(r"(?i)%3c(?=[\w/])", "<", plain)
         plain = re.sub(r"(?i)(?<=[\w/])%3e", ">", plain)
-        plain = re.sub(r"(?<![\w&])((?:amp;)*(?:lt|gt|quot|nbsp|apos|#\d{3,5});)", r"&\1", plain) if "reference" in kinds else plain
+        plain = re.sub(r"(?<![\w&;])((?:amp;)*(?:lt|gt|quot|nbsp|apos|#\d{3,5});)", r"&\1", plain) if "reference" in kinds else plain
         plain = html.unescape(plain)
         if plain == text:
             break
