@@ -47,7 +47,7 @@ _COMMANDS = (
 PATTERNS = {
     "html": [
         rf"(?i)<\s*/?\s*{_N}(?=[\s/>])[^<>]*>",  # a whole tag, also with stray blanks
-        rf"(?i)<\s*/\s*{_N}\b|<{_PREFIX}:|<{_N}\s+[a-z:-]+\s*=|<{_N}\b(?=[^<>]{{0,400}}(?:<|$))",  # without its end
+        rf"(?i)<\s*/\s*{_N}\b|<{_PREFIX}:|<{_N}\s+[a-z:-]+\s*=|<{_N}\b(?=[^<>]*(?:<|$))",  # without its end
         rf"(?i)(?<![\w</:])/?{_N}\s?/?>(?!>)|/{_N}>(?!>)|(?<![\w<])/\s?{_N}\s?>(?!>)|\b(?:jats|mml):[a-z]",  # without its start
         r"</?[a-zA-Z][a-zA-Z0-9]*[:-][\w:.-]+[^<>]*>|</[a-zA-Z][\w:.-]*\s*>|<[a-zA-Z]{2,}[\w:.-]*(?:\s+[\w:.-]+\s*=\s*(?:\"[^\"]*\"|'[^']*'))*\s*/?>",
         r"<!--|-->|<!\[CDATA\[|\]\]>|<!DOCTYPE|<\?xml",
@@ -64,13 +64,13 @@ PATTERNS = {
         r"``[^`'\n]+''",
     ],
     "markdown": [
-        r"!\[[^\[\]\n]*\]\([^()\n]*\)?|\[[^\[\]\n]+\]\((?:https?://|www\.|/|#|mailto:|\.)[^\s)]*\)?|\[[^\[\]\n]+\]\[[^\[\]\s,]*\]|(?m:^\s{0,3}\[[^\]\n]+\]:\s*\S+)|\[\^\w+\]|<https?://[^\s>]+>",
+        r"!\[[^\[\]\n]*\]\([^()\n]*\)?|\[[^\[\]\n]+\]\((?:https?://|www\.|/|#|mailto:|\.)[^\s)]*\)?|\[[^\[\]\n]+\]\[[^\[\]\s,]*\]|[\w,]\]\[\d+\]|(?m:^\s{0,3}\[[^\]\n]+\]:\s*\S+)|\[\^\w+\]|<https?://[^\s>]+>",
         r"(?<![\w*])\*{1,3}(?=[^\s*])(?:[^*\n]*[^\s*])\*{1,3}(?![\w*])|(?<![\w_])_{1,3}(?=[^\s_])(?:[^_\n]*[^\s_])_{1,3}(?![\w_])|\*\*|~~",
         r"`[^`\n]+`|```|(?m:^~~~)",
         r"(?m)^\s{0,3}#{1,6}[ \t]+\S|\n\s{0,3}(?:={3,}|-{3,})[ \t]*(?:\n|$)|^[ \t]*\|.*\|[ \t]*$|^\s{0,3}[*+-][ \t]+\S.*\n(?s:.*?)^\s{0,3}[*+-][ \t]+\S|\n[*+-][ \t]+\S|^\s{0,3}>[ \t]+\S|^\d{1,3}[.)][ \t]+\S.*\n+\d{1,3}[.)][ \t]+\S",
     ],
     "wiki": [
-        r"\[\[(?!\s*-?\d+(?:\.\d+)?\s*[,;\]]\s*[-\d\[])[^\[\]\n]+(?:\]\]|\||$)|\{\{(?!\s*[-\d{])[^{}\n]{1,400}(?:\}\}|\|)|\{\||(?m:^\|[}-])|(?<![\d'])''+(?=[^\s'])[^'\n]+''+",
+        r"\[\[(?!\s*-?\d+(?:\.\d+)?\s*[,;\]]\s*[-\d\[])[^\[\]\n]+(?:\]\]|\||$)|\{\{(?!\s*[-\d{])[^{}\n]{1,400}(?:\}\}|\|)|\{\||(?m:^\|[}-])|(?<![\d'])''+(?=[^\s'])[^'\n]+''+|'''(?=[^\s'])[^\n]{1,200}?'''",
         r"(?m)^={2,6}[^=\n]+={2,6}\s*$|^[*#:;]{1,5}[ \t]*\S.*\n[*#:;]{1,5}[ \t]*\S|__[A-Z]{3,}__|\[https?://\S+(?:\s[^\]\n]*)?\]",
     ],
 }

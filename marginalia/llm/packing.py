@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from marginalia.sources.tables import cut
 
 #: Groups of large sizes; an item is large from this share of the capacity on; rows aimed at per ranking bucket.
-GROUPS, LARGE, BUCKET_ROWS = 48, 1 / 8, 50_000
+GROUPS, LARGE, BUCKET_ROWS = 512, 1 / 8, 50_000
 
 
 def group_sizes(histogram: dict[int, int], capacity: int) -> dict[int, int]:
