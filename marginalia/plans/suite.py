@@ -386,18 +386,18 @@ def incremental_embed_split(spark: SparkSession, d: str) -> DataFrame:
     return carried.select("work_id", F.lit("carried").alias("fate")).unionByName(fresh.select("work_id", F.lit("encode").alias("fate"))).distinct()
 
 
-@query("SELECT label, count(*) AS n, round(sum(CAST(embedding[1] AS DOUBLE)), 4) AS first_sum FROM embeddings GROUP BY label")
+@query("SELECT label, count(*) AS n, round(sum(CAST(embedding[1] AS DOUBLE)), 4) + 0.0 AS first_sum FROM embeddings GROUP BY label")
 def embed_union(spark: SparkSession, d: str) -> DataFrame:
     """Two branches of vectors in one output again."""
     e = table(spark, d, "embeddings")
     whole = e.where("vec_id % 3 = 0").unionByName(e.where("vec_id % 3 <> 0"))
-    return whole.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("embedding")[0].cast("double")), 4).alias("first_sum"))
+    return whole.groupBy("label").agg(F.count(F.lit(1)).alias("n"), (F.round(F.sum(F.col("embedding")[0].cast("double")), 4) + 0.0).alias("first_sum"))
 
 
-@query("SELECT label, CAST(i AS INTEGER) AS dim, round(avg(x), 4) AS pooled FROM (SELECT label, unnest(CAST(embedding AS DOUBLE[])) AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings) GROUP BY label, i")
+@query("SELECT label, CAST(i AS INTEGER) AS dim, round(avg(x), 4) + 0.0 AS pooled FROM (SELECT label, unnest(CAST(embedding AS DOUBLE[])) AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings) GROUP BY label, i")
 def mean_pool(spark: SparkSession, d: str) -> DataFrame:
     pooled = vectors.mean_pool(table(spark, d, "embeddings"), "label", "embedding")
-    return pooled.select("label", F.posexplode("pooled").alias("dim", "x")).select("label", "dim", F.round("x", 4).alias("pooled"))
+    return pooled.select("label", F.posexplode("pooled").alias("dim", "x")).select("label", "dim", (F.round("x", 4) + 0.0).alias("pooled"))
 
 
 @query("SELECT label, arg_min(embedding, vec_id)[1] AS first_value FROM embeddings GROUP BY label")
@@ -411,9 +411,9 @@ def last_token_pool(spark: SparkSession, d: str) -> DataFrame:
     return vectors.last_pool(rows, "label", "embedding", "vec_id", "mask").select("label", F.col("pooled")[0].alias("first_value"))
 
 
-@query("SELECT vec_id, round(CAST(embedding[1] AS DOUBLE) / greatest(sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x))), 1e-9), 4) AS first_value FROM embeddings")
+@query("SELECT vec_id, round(CAST(embedding[1] AS DOUBLE) / greatest(sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x))), 1e-9), 4) + 0.0 AS first_value FROM embeddings")
 def l2_normalise(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "embeddings").select("vec_id", F.round(vectors.l2_normalise(F.col("embedding"))[0].cast("double"), 4).alias("first_value"))
+    return table(spark, d, "embeddings").select("vec_id", (F.round(vectors.l2_normalise(F.col("embedding"))[0].cast("double"), 4) + 0.0).alias("first_value"))
 
 
 @query("SELECT count(*) AS n_rows, count(DISTINCT author_id) AS n_authors FROM work_authorships")
