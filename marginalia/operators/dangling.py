@@ -60,12 +60,13 @@ def dangling_references(references: DataFrame, parents: DataFrame) -> DataFrame:
     (canonical), the keys that exist. Null targets refer to nothing and give no row. Repeated references are all
     returned. Empty parents make every reference dangle.
     """
-    references = references.where(F.col("target_id").isNotNull())
-    targets = references.groupBy("target_id").agg(F.count(F.lit(1)).alias("n_refs"))
+    # the row travels as one value, so that none of its names can clash with those used here
+    rows = references.where(F.col("target_id").isNotNull()).select("target_id", F.struct(*[F.col(f"`{c}`") for c in references.columns]).alias("row"))
+    targets = rows.groupBy("target_id").agg(F.count(F.lit(1)).alias("n_refs"))
     lost = dangling_targets(targets, contiguous_runs(parents))
-    hot = lost.orderBy(F.desc("n_refs"), "target_id").limit(HOT).select(F.col("target_id").alias("_hot"))
+    hot = lost.orderBy(F.desc("n_refs"), "target_id").limit(HOT).select(F.col("target_id").alias("hot"))
     # a row of a hot target is decided already; a key of its own spreads it over the shuffle
-    spread = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(f"`{c}`") for c in references.columns]).cast("string"))
-    keyed = references.join(F.broadcast(hot), F.col("target_id") == F.col("_hot"), "left").withColumn("_key", F.when(F.col("_hot").isNotNull(), spread).otherwise(F.col("target_id")))
-    found = keyed.join(lost.select(F.col("target_id").alias("_lost")), F.col("_key") == F.col("_lost"), "left")
-    return found.where(F.col("_hot").isNotNull() | F.col("_lost").isNotNull()).select(*[F.col(f"`{c}`") for c in references.columns])
+    spread = F.concat(F.lit("\u0000"), F.xxhash64("row").cast("string"))
+    keyed = rows.join(F.broadcast(hot), F.col("target_id") == F.col("hot"), "left").select("row", "hot", F.when(F.col("hot").isNotNull(), spread).otherwise(F.col("target_id")).alias("key"))
+    found = keyed.join(lost.select(F.col("target_id").alias("lost")), F.col("key") == F.col("lost"), "left")
+    return found.where(F.col("hot").isNotNull() | F.col("lost").isNotNull()).select("row.*")

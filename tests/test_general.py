@@ -30,8 +30,8 @@ def test_dangling_against_sets(spark):
 
 def test_dangling_empty(spark):
     none = spark.createDataFrame([], "parent_id string")
-    refs = spark.createDataFrame([("W1", 5), (None, 6)], "target_id string, number int")  # a column named like an inner one
-    assert [r["target_id"] for r in dangling.dangling_references(refs, none).collect()] == ["W1"]
+    refs = spark.createDataFrame([("W1", 5, "a", 7), (None, 6, "b", 8)], "target_id string, number int, key string, n_refs int")  # columns named like inner ones
+    assert [tuple(r) for r in dangling.dangling_references(refs, none).collect()] == [("W1", 5, "a", 7)]
     assert dangling.dangling_references(refs.limit(0), none).count() == 0
 
 
