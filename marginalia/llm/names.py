@@ -210,7 +210,7 @@ def registry(institutions: DataFrame) -> DataFrame:
 def link_organisations(mentions: DataFrame, institutions: DataFrame) -> DataFrame:
     """The columns of `mentions` but text, and institution_id: the registered institutions that strings of a mention name.
 
-    `mentions`: text and columns that tell the mention. Null and empty texts name nothing; repeated rows change nothing; a text may name
+    `mentions`: text and columns that tell the mention; a column institution_id is replaced. Null and empty texts name nothing; repeated rows change nothing; a text may name
     several. Of places one edit away from the text, those spelled exactly win, then those of the country that the text
     names; a text whose misspelt place fits several institutions still names none of them. An empty registry or empty
     mentions give no row.
@@ -251,7 +251,7 @@ def link_organisations(mentions: DataFrame, institutions: DataFrame) -> DataFram
             break
         vocabulary, rest = cut(vocabulary.unionByName(learned)), cut(rest)
     named = found.join(segments.select("segment", "text"), "segment").select("text", "institution_id").distinct()
-    return mentions.join(named, "text").drop("text").distinct()
+    return mentions.drop("institution_id").join(named, "text").drop("text").distinct()
 
 
 # ---- people ----
