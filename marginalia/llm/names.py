@@ -325,7 +325,7 @@ def profiles(records: DataFrame) -> DataFrame:
                 "forms": [[{"surname": s, "given": g} for s, g in leading_forms(parsed[i])] for i in keep],
                 "givens": [sorted({p[1] for p in parsed[i] if len(p[1]) > 1}) for i in keep],
                 "middles": [sorted({c for p in parsed[i] for c in p[2]}) for i in keep],
-                "places": frame["places"].iloc[keep].to_numpy(), "orcids": frame["orcids"].iloc[keep].to_numpy(),
+                "places": frame["places"].iloc[keep].to_numpy(), "orcids": [sorted(frame["orcids"].iloc[i]) for i in keep],
             })
 
     schema = T.StructType([T.StructField("person", T.StringType()), T.StructField("forms", T.ArrayType(_FORM)), *[T.StructField(n, _STRINGS) for n in ("givens", "middles", "places", "orcids")]])
@@ -392,6 +392,36 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.where(F.col("person") != F.col("entity"))
 
 
+def _matched(placed: DataFrame, near: DataFrame, fresh: DataFrame | None = None) -> DataFrame:
+    """(a, b), a < b: profiles to merge, of rows of `_placed`. With `fresh` (person) only what these profiles can change.
+
+    That is the pairs with one of them, and all pairs of those initials-only profiles that meet one of them, as such a
+    profile is decided over all its candidates.
+    """
+    if fresh is None:
+        placed = placed.withColumn("fresh", F.lit(True))
+    else:
+        under = lambda rows: rows.select("surname", "given", "place").unionByName(_moved(rows, near).select("surname", "given", "place"))
+        initial = F.substring("given", 1, 1).alias("initial")
+        met = under(placed.join(fresh, "person", "left_semi")).select("surname", "place", initial).distinct()
+        poor = placed.where(F.size("who.givens") == 0).withColumn("initial", initial).join(met, ["surname", "place", "initial"], "left_semi").select("person")
+        fresh = cut(fresh.unionByName(poor).distinct())
+        blocks = under(placed.join(fresh, "person", "left_semi")).select("surname", "place").distinct()
+        placed = placed.join(blocks, ["surname", "place"], "left_semi").join(fresh.withColumn("fresh", F.lit(True)), "person", "left").withColumn("fresh", F.coalesce("fresh", F.lit(False)))
+    # equal forms at one place: the class is linked to its smallest member, which speaks for it
+    classes = Window.partitionBy("surname", "place", "given", F.col("who.middles"), F.col("who.orcids"))
+    placed = cut(placed.withColumn("head", F.min_by("who", "person").over(classes)).withColumn("fresh", F.max("fresh").over(classes)))
+    starred = placed.where("fresh").where(F.col("person") != F.col("head.person")).select(F.col("head").alias("w1"), F.col("who").alias("w2"))
+    heads = placed.where(F.col("person") == F.col("head.person")).drop("head")
+    asked = heads.where("fresh")
+    if fresh is None:
+        # each pair of equal surnames, and each pair of near ones, is met once
+        equal, near = _meet(asked, heads).where(F.col("w1.person") < F.col("w2.person")), near.where(F.col("word") < F.col("near"))
+    else:
+        equal = _meet(asked, heads)
+    return _agreed(equal.unionByName(_meet(_moved(asked, near), heads)).unionByName(starred)).distinct()
+
+
 def resolve_people(records: DataFrame) -> DataFrame:
     """(person, entity): the entity of every person that was merged with another one; entity is its smallest person.
 
@@ -399,35 +429,22 @@ def resolve_people(records: DataFrame) -> DataFrame:
     nothing, nulls and empty strings are passed over. Persons that match nobody have no row, nor has an empty table.
     """
     people = cut(profiles(records))
-    placed = _placed(people).repartition("surname", "place")
-    # equal forms at one place: the class is linked to its smallest member, which speaks for it
-    classes = Window.partitionBy("surname", "place", "given", F.col("who.middles"), F.col("who.orcids")).orderBy("person")
-    placed = cut(placed.withColumn("head", F.first("who").over(classes)))
-    starred = placed.where(F.col("person") != F.col("head.person")).select(F.col("head").alias("w1"), F.col("who").alias("w2"))
-    heads = placed.where(F.col("person") == F.col("head.person")).drop("head")
-    surnames = heads.select(F.col("surname").alias("word")).distinct()
+    placed = cut(_placed(people).repartition("surname", "place"))
+    surnames = placed.select(F.col("surname").alias("word")).distinct()
     near = cut(neighbours(surnames, surnames, 5))
     if near.count() <= NEAR_PAIRS:
         near = F.broadcast(near)
     by_orcid = people.select("person", F.explode("orcids").alias("orcid")).withColumn("a", F.min("person").over(Window.partitionBy("orcid"))).where(F.col("person") != F.col("a")).select("a", F.col("person").alias("b"))
-    # each pair of equal surnames, and each pair of near ones, is met once
-    equal = _meet(heads, heads).where(F.col("w1.person") < F.col("w2.person"))
-    typed = _meet(_moved(heads, near.where(F.col("word") < F.col("near"))), heads)
-    edges = cut(_agreed(equal.unionByName(typed).unionByName(starred)).unionByName(by_orcid).distinct())
+    edges = new = cut(_matched(placed, near).unionByName(by_orcid).distinct())
     while True:
         entity = cut(components(edges))
-        # merged profiles hold the union of their members' forms and places; only new combinations are blocked again
-        members = cut(entity.unionByName(entity.select(F.col("entity").alias("person"), "entity").distinct()).join(people, "person"))
-        union = lambda c: F.array_distinct(F.flatten(F.collect_list(c))).alias(c)
-        merged = members.groupBy("entity").agg(*[union(c) for c in ("forms", "givens", "middles", "places", "orcids")]).withColumnRenamed("entity", "person")
-        seen = members.select(F.col("entity").alias("person"), F.explode("forms").alias("form"), "places").select("person", "form.*", F.explode("places").alias("place")).distinct()
-        fresh = cut(_placed(merged).join(seen, ["person", "surname", "given", "place"], "left_anti"))
-        if fresh.isEmpty():
-            return entity
-        known = fresh.select("who", "surname", "given", "place")
-        met = _meet(known.unionByName(_moved(fresh, near)), heads).join(entity.select(F.col("person").alias("_p"), F.col("entity").alias("_e")), F.col("w2.person") == F.col("_p"), "left")
-        met = met.where(F.col("w1.person") != F.coalesce("_e", F.col("w2.person"))).select("w1", "w2")
-        new = cut(_agreed(met).join(edges, ["a", "b"], "left_anti"))
+        # merged profiles stand for their members with the union of what is known of them; those that grew are matched again
+        named = entity.unionByName(entity.select(F.col("entity").alias("person"), "entity").distinct())
+        union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+        merged = named.join(people, "person").groupBy("entity").agg(*[union(c) for c in ("forms", "givens", "middles", "places", "orcids")]).withColumnRenamed("entity", "person")
+        now = cut(placed.join(named, "person", "left_anti").unionByName(_placed(merged)))
+        grown = new.select(F.col("a").alias("person")).join(named, "person").select(F.col("entity").alias("person")).distinct()
+        new = cut(_matched(now, near, grown))
         if new.isEmpty():
             return entity
         edges = cut(edges.unionByName(new))

@@ -78,6 +78,14 @@ def test_merged_profiles_match_again(spark):
     assert got == {("A1", "A2"), ("A1", "A3"), ("A2", "A3")}
 
 
+def test_merged_givens_decide_again(spark):
+    # S. fits two given names until these are one person; T. keeps a third candidate that is another person
+    rows = [("A1", ["Soren Velmark"], ["I1"], None), ("A2", ["Soeren Velmark"], ["I1"], None), ("A3", ["S. Velmark"], ["I1"], None)]
+    rows += [("B1", ["Taren Oberlin"], ["I2"], None), ("B2", ["Tauren Oberlin"], ["I2"], None), ("B3", ["T. Oberlin"], ["I2", "I3"], None), ("B4", ["Tilda Oberlin"], ["I3"], None)]
+    got = {tuple(r) for r in names.entity_pairs(names.resolve_people(records(spark, rows))).collect()}
+    assert got == {("A1", "A2"), ("A1", "A3"), ("A2", "A3"), ("B1", "B2")}
+
+
 def test_organisations(spark):
     registry = spark.createDataFrame(
         [("I1", "University of Gizia", None, "Gizia", "IN"), ("I2", "Klinikum Gizia", "GIKL", "Gizia", "IN"), ("I3", "Technische Hochschule Glurenx", None, "Glurenx", "CH"), ("I4", "Kredu Centre for Plasma Research", None, "Kredu", "NL"), ("I5", "Universidad de Dezelt", None, "Dezelt", "MX"), ("I6", "Universität Dejelt", None, "Dejelt", "CH"), (None, "University of Nowhere", None, "Nowhere", "US")],
