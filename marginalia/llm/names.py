@@ -6,7 +6,8 @@ their spellings, initials and affiliations and enters blocking again, until a ro
 People. A profile is an author id with its name forms (surname, given name, middle initials), institutions and ORCIDs.
 Two profiles match when they share an institution, their surnames are equal or one edit apart, their given names agree
 (equal, one edit apart, nickname, initial), and neither their ORCIDs nor their middle initials contradict each other;
-or when they share an ORCID. A profile that is known by initials only is merged only if all its candidates agree.
+or when they share an ORCID. A profile that is known by initials only is merged with candidates that have a given name
+only if all of these agree, and else with those of its own form.
 Profiles of equal form are first linked to the smallest id of their class, so pairs are only made between different
 forms of neighbouring surnames at one institution.
 
@@ -343,7 +344,7 @@ def _alike(x: Column, y: Column) -> Column:
 
 
 def _agreed(edges: DataFrame) -> DataFrame:
-    """Of (w1, w2), profiles that met in a block, the pairs (a, b) to merge, a < b."""
+    """Of (w1, w2, twin), profiles that met in a block, twins in the same class, the pairs (a, b) to merge, a < b."""
     one, two = F.col("w1"), F.col("w2")
 
     def clash(name: str) -> Column:
@@ -355,13 +356,20 @@ def _agreed(edges: DataFrame) -> DataFrame:
     kept = edges.where(same_orcid | (~clash("orcids") & ~clash("middles") & (~(full_1 & full_2) | agree)))
     a, b = F.least(one["person"], two["person"]), F.greatest(one["person"], two["person"])
     strong = same_orcid | (full_1 & full_2)
-    flat = kept.select(a.alias("a"), b.alias("b"), strong.alias("strong"), F.when(full_1, two["person"]).otherwise(one["person"]).alias("poor"), F.when(full_1, one["person"]).otherwise(two["person"]).alias("rich"), F.when(full_1, one["givens"]).otherwise(two["givens"]).alias("givens"))
+    flat = kept.select(a.alias("a"), b.alias("b"), "twin", strong.alias("strong"), (full_1 | full_2).alias("named"), F.when(full_1, two["person"]).otherwise(one["person"]).alias("poor"), F.when(full_1, one["person"]).otherwise(two["person"]).alias("rich"), F.when(full_1, one["givens"]).otherwise(two["givens"]).alias("givens"))
     flat = cut(flat.distinct())
-    # a profile known by initials only: merged if all its candidates share a given name, or have none either
-    weak = flat.where(~F.col("strong")).select("poor", "rich", F.explode_outer("givens").alias("given")).distinct()
+    # a profile known by initials only: merged with candidates that have a given name if all of these share one
+    weak = flat.where(~F.col("strong") & F.col("named")).select("poor", "rich", F.explode("givens").alias("given")).distinct()
     votes = weak.groupBy("poor", "given").agg(F.count(F.lit(1)).alias("n")).groupBy("poor").agg(F.max("n").alias("agreed"))
-    sure = votes.join(weak.groupBy("poor").agg(F.count_distinct("rich").alias("riches")), "poor").where(F.col("agreed") == F.col("riches")).select("poor")
-    return flat.where("strong").select("a", "b").unionByName(flat.where(~F.col("strong")).join(sure, "poor", "left_semi").select("a", "b"))
+    decided = cut(votes.join(weak.groupBy("poor").agg(F.count_distinct("rich").alias("riches")), "poor").select("poor", (F.col("agreed") == F.col("riches")).alias("sure")))
+    by_name = flat.where(~F.col("strong") & F.col("named")).join(decided.where("sure"), "poor", "left_semi")
+    # two such profiles: one that is sure of a name is merged with that first and met again; else twins are one, and others if no name is in sight
+    state = lambda side: decided.select(F.col("poor").alias(side), F.col("sure").alias(f"sure_{side}"))
+    blank = flat.where(~F.col("strong") & ~F.col("named")).select("a", "b", "twin").distinct().join(state("a"), "a", "left").join(state("b"), "b", "left")
+    nameless = F.col("sure_a").isNull() & F.col("sure_b").isNull()
+    unsure = ~F.coalesce("sure_a", F.lit(False)) & ~F.coalesce("sure_b", F.lit(False))
+    blank = blank.where(nameless | (F.col("twin") & unsure))
+    return flat.where("strong").select("a", "b").unionByName(by_name.select("a", "b")).unionByName(blank.select("a", "b"))
 
 
 def _moved(placed: DataFrame, near: DataFrame) -> DataFrame:
@@ -398,7 +406,8 @@ def _matched(placed: DataFrame, near: DataFrame, fresh: DataFrame | None = None)
     That is the pairs with one of them, and all pairs of those initials-only profiles that meet one of them, as such a
     profile is decided over all its candidates.
     """
-    if fresh is None:
+    first = fresh is None
+    if first:
         placed = placed.withColumn("fresh", F.lit(True))
     else:
         under = lambda rows: rows.select("surname", "given", "place").unionByName(_moved(rows, near).select("surname", "given", "place"))
@@ -408,18 +417,22 @@ def _matched(placed: DataFrame, near: DataFrame, fresh: DataFrame | None = None)
         fresh = cut(fresh.unionByName(poor).distinct())
         blocks = under(placed.join(fresh, "person", "left_semi")).select("surname", "place").distinct()
         placed = placed.join(blocks, ["surname", "place"], "left_semi").join(fresh.withColumn("fresh", F.lit(True)), "person", "left").withColumn("fresh", F.coalesce("fresh", F.lit(False)))
-    # equal forms at one place: the class is linked to its smallest member, which speaks for it
-    classes = Window.partitionBy("surname", "place", "given", F.col("who.middles"), F.col("who.orcids"))
+    # equal forms at one place: the class is linked to its smallest member, which speaks for it; where only the initial
+    # is equal, given names tell classes apart, and members known by initials only are decided each for itself
+    poor = F.size("who.givens") == 0
+    classes = Window.partitionBy("surname", "place", "given", F.col("who.middles"), F.col("who.orcids"), F.when(F.length("given") <= 1, F.col("who.givens")))
     placed = cut(placed.withColumn("head", F.min_by("who", "person").over(classes)).withColumn("fresh", F.max("fresh").over(classes)))
-    starred = placed.where("fresh").where(F.col("person") != F.col("head.person")).select(F.col("head").alias("w1"), F.col("who").alias("w2"))
-    heads = placed.where(F.col("person") == F.col("head.person")).drop("head")
-    asked = heads.where("fresh")
-    if fresh is None:
+    is_head = F.col("person") == F.col("head.person")
+    starred = placed.where("fresh").where(~is_head).select(F.col("head").alias("w1"), F.col("who").alias("w2"), F.lit(True).alias("twin"))
+    heads = placed.where(is_head).drop("head")
+    asked, members = heads.where("fresh"), placed.where(F.col("fresh") & ~is_head & poor).drop("head")
+    if first:
         # each pair of equal surnames, and each pair of near ones, is met once
-        equal, near = _meet(asked, heads).where(F.col("w1.person") < F.col("w2.person")), near.where(F.col("word") < F.col("near"))
+        met = _meet(asked, heads).where(F.col("w1.person") < F.col("w2.person")).unionByName(_meet(_moved(asked, near.where(F.col("word") < F.col("near"))), heads))
     else:
-        equal = _meet(asked, heads)
-    return _agreed(equal.unionByName(_meet(_moved(asked, near), heads)).unionByName(starred)).distinct()
+        met = _meet(asked, heads).unionByName(_meet(_moved(asked, near), heads))
+    rest = _meet(members, heads).unionByName(_meet(_moved(members, near), heads))
+    return _agreed(met.unionByName(rest).withColumn("twin", F.lit(False)).unionByName(starred)).distinct()
 
 
 def resolve_people(records: DataFrame) -> DataFrame:

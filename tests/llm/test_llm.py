@@ -86,6 +86,14 @@ def test_merged_givens_decide_again(spark):
     assert got == {("A1", "A2"), ("A1", "A3"), ("A2", "A3"), ("B1", "B2")}
 
 
+def test_candidates_without_given_name(spark):
+    rows = [("A1", ["J. Velmark"], ["I1"], None), ("A2", ["J. Velmark"], ["I1"], None), ("A3", ["John Velmark"], ["I1"], None)]  # all one
+    rows += [("B1", ["J. Oberlin"], ["I2"], None), ("B2", ["J. Oberlin"], ["I2"], None), ("B3", ["John Oberlin"], ["I2"], None), ("B4", ["Jane Oberlin"], ["I2"], None)]  # twins that fit two people
+    rows += [("C1", ["T. Kaptin"], ["I3", "I4"], None), ("C2", ["T. Kaptin"], ["I3", "I5"], None), ("C3", ["Tilda Kaptin"], ["I4"], None), ("C4", ["Thomas Kaptin"], ["I5"], None)]  # twins with a name each
+    got = {tuple(r) for r in names.entity_pairs(names.resolve_people(records(spark, rows))).collect()}
+    assert got == {("A1", "A2"), ("A1", "A3"), ("A2", "A3"), ("B1", "B2"), ("C1", "C3"), ("C2", "C4")}
+
+
 def test_organisations(spark):
     registry = spark.createDataFrame(
         [("I1", "University of Gizia", None, "Gizia", "IN"), ("I2", "Klinikum Gizia", "GIKL", "Gizia", "IN"), ("I3", "Technische Hochschule Glurenx", None, "Glurenx", "CH"), ("I4", "Kredu Centre for Plasma Research", None, "Kredu", "NL"), ("I5", "Universidad de Dezelt", None, "Dezelt", "MX"), ("I6", "Universität Dejelt", None, "Dejelt", "CH"), (None, "University of Nowhere", None, "Nowhere", "US")],
