@@ -76,7 +76,7 @@ PATTERNS = {
 }
 _FAMILIES = {name: [re.compile(p) for p in patterns] for name, patterns in PATTERNS.items()}
 #: No markup of the patterns above is possible without one of these.
-TRIGGER = r"[<>&\\$*_`|~^]|\[\[|\{\{|\]\(|\]\[|\]:|\[\^|\[http|''|==|\n|%3|amp;|lt;|gt;|quot;|nbsp;|apos;|#[0-9]{3}"
+TRIGGER = r"[<>&\\$*_`|~^]|\[\[|\{\{|\]\(|\]\[|\]:|\[\^|\[http|''|==|\n|%3|amp;|lt;|gt;|quot;|nbsp;|apos;|#[0-9]{3}|#[ \t]|(?iu:jats|mml):"
 
 _BLOCK = frozenset("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li list list-item main nav ol p para pre sec section summary table tbody td tfoot th thead title tr ul disp-formula disp-quote caption".split())
 _VOID = frozenset("br hr img input link meta col wbr source param inline-graphic".split())

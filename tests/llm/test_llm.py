@@ -142,6 +142,13 @@ def test_clean(text, want):
     assert markup.clean_text(text) == want
 
 
+def test_trigger_passes_what_patterns_find(spark):
+    # texts for the alternatives of the patterns, without a line break or bracket where they need none
+    texts = [*MARKED, "# Introduction", "## Results of X", " #\ta", "jats:p Text", "mml:mi x", "JATS:title A", "a /i> b", "<!DOCTYPE a", "<?xml a", "a ]]> b", "a --> b", "lt; b", "#946; x", "\\x3c", "&beta b", "``a''", "$$a", "$a$", "a][1]", "[1]: http", "[^1]", "<https://a.example>", "__a__", "~~~", "| a |", "> a", "[[a", "{{a|", "|}", "'''a'''", "== a ==", "__TOC__", "[https://a.example b]"]
+    assert [t for t in texts if not markup.markup_kinds(t)] == []
+    assert [r["t"] for r in spark.createDataFrame([(t,) for t in texts], "t string").where(~F.col("t").rlike(markup.TRIGGER)).collect()] == []
+
+
 def test_density_leaves_menus_out():
     menu = "<div>" + "".join(f'<p><a href="/{i}">Link {i}</a></p>' for i in range(30)) + "</div>"
     body = "<div>" + "".join(f"<p>{'A long sentence of the article itself, with many words. ' * 5}</p>" for _ in range(6)) + "</div>"
