@@ -206,6 +206,36 @@ def test_few_vectors(spark):
     assert neighbours.nearest(neighbours.unit_vectors(table.limit(0), "id", "vector"), 5).count() == 0
 
 
+def test_copies_of_a_vector(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 20)
+    rng = np.random.default_rng(4)
+    x = rng.integers(-3, 4, size=(60, 8)).astype(float)
+    x[np.abs(x).sum(1) == 0] = 1
+    x = np.concatenate([x, np.repeat(x[:1], 30, axis=0), np.repeat(x[1:2], 3, axis=0)])
+    table = spark.createDataFrame([(f"v{i:02d}", [float(c) for c in v]) for i, v in enumerate(x)], "id string, v array<float>")
+    got: dict[str, list] = {}
+    for r in neighbours.nearest(neighbours.unit_vectors(table, "id", "v"), 5).collect():
+        got.setdefault(r["id"], []).append(r["other"])
+    copies = [f"v{i:02d}" for i in [0, *range(60, 90)]]
+    assert all(sorted(got[c]) == [d for d in copies if d != c][:5] for c in copies)
+    assert all({"v01", "v90", "v91", "v92"} - {c} < set(got[c]) and len(got[c]) == 5 for c in ("v01", "v90", "v92"))
+    assert all(len(set(v)) == 5 and k not in v for k, v in got.items())
+
+
+def test_collisions_against_counting():
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((333, 24)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    lines, least = neighbours._lines(24), 30
+    h, radius = x[:50] @ lines, np.linspace(0.3, 1.6, 50)
+    got = set(zip(*(a.tolist() for a in neighbours.Block(x).collisions(h, radius, least)), strict=True))
+    apart = np.abs(h[:, None, :] - (x @ lines)[None, :, :])
+    half = (neighbours.WIDTH / 2 * radius)[:, None, None]
+    sure, far = (apart <= half).sum(2) >= least, (apart <= half + 0.3).sum(2) < least  # windows are rounded outward to marks
+    assert {(int(a), int(b)) for a, b in zip(*np.nonzero(sure), strict=True)} <= got
+    assert not any(far[a, b] for a, b in got)
+
+
 # ---- tokens ----
 
 
