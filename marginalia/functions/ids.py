@@ -17,7 +17,8 @@ def canonical_id(c: Column) -> Column:
     """
     bare = F.regexp_replace(c, RECORD_ID, "$1$2")
     other = F.nullif(F.regexp_replace(c, r"^\s+|\s+$", ""), F.lit(""))
-    return F.when(c.rlike("^[A-Z][1-9][0-9]*$"), c).when(bare.rlike("^[A-Za-z][0-9]+$"), F.upper(bare)).otherwise(other)
+    # the two usual forms are told by one cheap expression each
+    return F.when(c.rlike("^[A-Z][1-9][0-9]*$"), c).when(c.rlike(r"^https?://[^/\s]+/[A-Z][1-9][0-9]*$"), F.substring_index(c, "/", -1)).when(bare.rlike("^[A-Za-z][0-9]+$"), F.upper(bare)).otherwise(other)
 
 
 def id_space(canonical: Column) -> Column:
