@@ -16,7 +16,7 @@ institution if one of its segments holds all of them. Elements are looked up exa
 of matched segments are merged into the vocabulary and unmatched segments are tried again, until nothing is added.
 
 At scale every step is an equi-join or a partial aggregation; profiles hold distinct folded forms, not rows, so an
-author with a third of all rows is one profile. Only the given-name list (a fixed number of words) reaches the driver.
+author with a third of all rows is one profile. Only the list of given names, bounded by GIVEN_SHARE, reaches the driver.
 """
 
 from __future__ import annotations
@@ -24,8 +24,10 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,8 +35,9 @@ from pyspark.sql import types as T
 from marginalia.functions.ids import canonical_id
 from marginalia.sources.tables import cut
 
-#: Words that are taken as given names when the order of a name is open; the most frequent ones, a fixed number.
-GIVEN_WORDS = 5000
+#: A word tells the order of names if it stands in at least one of so many two-word names: a share, which also bounds
+#: the number of such words that reach the driver, by twice this number.
+GIVEN_SHARE = 200_000
 
 # Words of names.
 PARTICLES = frozenset("van von der den de la le du di da del dos das el al bin ten ter zu zur".split())
@@ -222,7 +225,7 @@ def link_organisations(mentions: DataFrame, institutions: DataFrame) -> DataFram
     segments = cut(segments.withColumn("segment", F.xxhash64("text", "at")))
     words = segments.select(F.explode("words").alias("word")).distinct()
     elements = ways.select(F.explode("elements").alias("element")).distinct()
-    acronyms = elements.where(F.col("element").startswith("=")).select(F.substring("element", 2, 99).alias("word"), "element", F.lit(0).alias("edits"))
+    acronyms = elements.where(F.col("element").startswith("=")).select(F.expr("substring(element, 2)").alias("word"), "element", F.lit(0).alias("edits"))
     plain = elements.where(~F.col("element").startswith("="))
     spellings = plain.select(F.explode(F.array(F.col("element"), F.concat("element", F.lit("er")))).alias("word"), "element").unionByName(words.sparkSession.createDataFrame(sorted(ELEMENT.items()), "word string, element string"))
     vocabulary = spellings.distinct()
@@ -264,13 +267,14 @@ NEAR_PAIRS = 200_000
 
 
 def _given_words(spellings: DataFrame) -> frozenset[str]:
-    """The words that stand first in two-word names much more often than last, the most frequent GIVEN_WORDS."""
+    """The words that stand first in two-word names much more often than last; see GIVEN_SHARE."""
     words = F.split(F.lower(F.trim("spelling")), r"\s+")
     plain = spellings.select(words.alias("w")).where((F.size("w") == 2) & ~F.col("w")[0].contains(",") & (F.length(F.col("w")[0]) > 2) & (F.length(F.col("w")[1]) > 2))
     ends = plain.select(F.explode(F.array(F.struct(F.col("w")[0].alias("word"), F.lit(1).alias("first")), F.struct(F.col("w")[1].alias("word"), F.lit(0).alias("first")))).alias("e")).select("e.*")
     counts = ends.groupBy("word").agg(F.sum("first").alias("first"), F.count(F.lit(1)).alias("n"))
-    top = counts.where((F.col("n") >= 5) & (F.col("first") * 4 >= F.col("n") * 3)).orderBy(F.desc("first"), "word").limit(GIVEN_WORDS)
-    return frozenset(re.sub("['-]", "", fold_accents(r["word"])).lower() for r in top.collect())
+    # three of four, with one name more that says the opposite
+    told = counts.where(F.col("first") * 4 >= (F.col("n") + 1) * 3).join(F.broadcast(plain.agg(F.count(F.lit(1)).alias("all"))), F.col("n") * GIVEN_SHARE >= F.col("all")).select("word")
+    return frozenset(re.sub("['-]", "", fold_accents(r["word"])).lower() for r in told.toLocalIterator())
 
 
 def edited(a: str, b: str) -> bool:
@@ -312,25 +316,43 @@ def profiles(records: DataFrame) -> DataFrame:
     `records`: person, spellings and places (arrays), orcid; nulls and empty strings in any of them are passed over.
     Persons with neither a name nor an ORCID are left out.
     """
-    flat = lambda c: F.array_distinct(F.filter(F.flatten(F.collect_set(c)), lambda x: x != ""))
-    known = records.where(F.col("person") != "").groupBy("person").agg(flat("spellings").alias("spellings"), flat("places").alias("places"), F.filter(F.collect_set("orcid"), lambda x: x != "").alias("orcids"))
-    known = cut(known)
-    words = _given_words(known.select(F.explode("spellings").alias("spelling")))
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            parsed = [[p for p in (parse_name(s, words) for s in names) if p] for names in frame["spellings"]]
-            keep = [i for i, p in enumerate(parsed) if p or len(frame["orcids"].iloc[i])]
-            yield pd.DataFrame({
-                "person": frame["person"].iloc[keep].to_numpy(),
-                "forms": [[{"surname": s, "given": g} for s, g in leading_forms(parsed[i])] for i in keep],
-                "givens": [sorted({p[1] for p in parsed[i] if len(p[1]) > 1}) for i in keep],
-                "middles": [sorted({c for p in parsed[i] for c in p[2]}) for i in keep],
-                "places": frame["places"].iloc[keep].to_numpy(), "orcids": [sorted(frame["orcids"].iloc[i]) for i in keep],
-            })
+    single = F.array(F.struct(F.lit("o").alias("kind"), F.col("orcid").alias("value")))
+    listed = lambda kind, values: records.select("person", F.lit(kind).alias("kind"), F.explode(values).alias("value"))
+    every = listed("s", "spellings").unionByName(listed("p", "places")).unionByName(records.select("person", F.inline(single)).where(F.col("value") != ""))
+    # distinct before they are gathered by person, so that a person with many rows is gathered by its few values
+    values = cut(every.distinct().where((F.col("person") != "") & (F.col("value") != "")))
+    words = _given_words(values.where("kind = 's'").select(F.col("value").alias("spelling")))
+    text, texts = pa.string(), pa.list_(pa.string())
+    arrow = pa.schema([("person", text), ("forms", pa.list_(pa.struct([("surname", text), ("given", text)]))), *[(n, texts) for n in ("givens", "middles", "places", "orcids")]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parse = lru_cache(100_000)(lambda s: parse_name(s, words))
+        rows: list[dict] = []
+        person: str | None = None
+        held: dict[str, list[str]] = {"s": [], "p": [], "o": []}
+
+        def close() -> None:
+            parsed = [p for p in map(parse, held["s"]) if p]
+            if parsed or held["o"]:
+                forms = [{"surname": s, "given": g} for s, g in leading_forms(parsed)]
+                rows.append({"person": person, "forms": forms, "givens": sorted({p[1] for p in parsed if len(p[1]) > 1}), "middles": sorted({c for p in parsed for c in p[2]}), "places": held["p"], "orcids": held["o"]})
+
+        for b in batches:
+            for who, kind, value in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if who != person:
+                    if person is not None:
+                        close()
+                    person, held = who, {"s": [], "p": [], "o": []}
+                held[kind].append(value)
+            if len(rows) >= 5_000:
+                yield pa.RecordBatch.from_pylist(rows, arrow)
+                rows.clear()
+        if person is not None:
+            close()
+        yield pa.RecordBatch.from_pylist(rows, arrow)
 
     schema = T.StructType([T.StructField("person", T.StringType()), T.StructField("forms", T.ArrayType(_FORM)), *[T.StructField(n, _STRINGS) for n in ("givens", "middles", "places", "orcids")]])
-    return known.mapInPandas(run, schema)
+    return values.repartition("person").sortWithinPartitions("person", "kind", "value").mapInArrow(run, schema)
 
 
 def _placed(people: DataFrame) -> DataFrame:
@@ -420,7 +442,7 @@ def _matched(placed: DataFrame, near: DataFrame, fresh: DataFrame | None = None)
     # equal forms at one place: the class is linked to its smallest member, which speaks for it; where only the initial
     # is equal, given names tell classes apart, and members known by initials only are decided each for itself
     poor = F.size("who.givens") == 0
-    classes = Window.partitionBy("surname", "place", "given", F.col("who.middles"), F.col("who.orcids"), F.when(F.length("given") <= 1, F.col("who.givens")))
+    classes = Window.partitionBy("surname", "place", F.xxhash64("given", "who.middles", "who.orcids", F.when(F.length("given") <= 1, F.col("who.givens"))))
     placed = cut(placed.withColumn("head", F.min_by("who", "person").over(classes)).withColumn("fresh", F.max("fresh").over(classes)))
     is_head = F.col("person") == F.col("head.person")
     starred = placed.where("fresh").where(~is_head).select(F.col("head").alias("w1"), F.col("who").alias("w2"), F.lit(True).alias("twin"))
@@ -435,11 +457,72 @@ def _matched(placed: DataFrame, near: DataFrame, fresh: DataFrame | None = None)
     return _agreed(met.unionByName(rest).withColumn("twin", F.lit(False)).unionByName(starred)).distinct()
 
 
+def _clashing(sets: Column) -> Column:
+    """Whether two of the sets hold something and nothing in common."""
+    return F.exists(sets, lambda x: (F.size(x) > 0) & F.exists(sets, lambda y: (F.size(y) > 0) & ~F.arrays_overlap(x, y)))
+
+
+def merge_agreeing(members: dict[str, dict], edges: list[tuple[str, str]]) -> dict[str, str]:
+    """Person to entity: edges are followed from the surest on, unless the profiles merged so far contradict each other.
+
+    Surest are a common ORCID, then given names on both sides with common middle initials, then given names on both
+    sides, then the rest; of equal ones those with more common places, then the smaller ids.
+    """
+    profile = {p: {c: set(m[c]) for c in ("givens", "middles", "places", "orcids")} for p, m in members.items()}
+    root = {p: p for p in members}
+
+    def find(p: str) -> str:
+        while root[p] != p:
+            root[p] = p = root[root[p]]
+        return p
+
+    def order(edge: tuple[str, str]) -> tuple:
+        x, y = profile[edge[0]], profile[edge[1]]
+        full = bool(x["givens"] and y["givens"])
+        kind = 0 if x["orcids"] & y["orcids"] else 1 if full and x["middles"] & y["middles"] else 2 if full else 3
+        return kind, -len(x["places"] & y["places"]), *edge
+
+    for a, b in [e for _, e in sorted((order(e), e) for e in edges)]:
+        a, b = sorted((find(a), find(b)))
+        x, y = profile[a], profile[b]
+        clash = any(x[c] and y[c] and not x[c] & y[c] for c in ("orcids", "middles"))
+        if a != b and (x["orcids"] & y["orcids"] or not clash):
+            root[b] = a
+            for c in x:
+                x[c] |= y[c]
+    return {p: find(p) for p in members}
+
+
+def _settled(edges: DataFrame, current: DataFrame) -> DataFrame:
+    """(person, entity) of the profiles that the edges merge, without merging profiles that contradict each other.
+
+    Two profiles that agree may each agree with a third one and contradict each other through it; chains that hold such
+    profiles are followed edge by edge, each chain in one task.
+    """
+    entity = cut(components(edges))
+    named = entity.unionByName(entity.select(F.col("entity").alias("person"), "entity").distinct())
+    known = named.join(current, "person")
+    doubtful = cut(known.groupBy("entity").agg(F.collect_set("middles").alias("m"), F.collect_set("orcids").alias("o")).where(_clashing(F.col("m")) | _clashing(F.col("o"))).select("entity"))
+    if doubtful.isEmpty():
+        return entity
+    none = F.lit(None).cast("string")
+    rows = known.join(doubtful, "entity", "left_semi").select("entity", "person", none.alias("other"), "givens", "middles", "places", "orcids")
+    links = edges.join(named.withColumnRenamed("person", "a"), "a").join(doubtful, "entity", "left_semi").select("entity", F.col("a").alias("person"), F.col("b").alias("other"), *[F.lit(None).cast("array<string>").alias(c) for c in ("givens", "middles", "places", "orcids")])
+
+    def solve(chain: pd.DataFrame) -> pd.DataFrame:
+        own = chain["other"].isna()
+        found = merge_agreeing(chain[own].set_index("person").to_dict("index"), list(zip(chain["person"][~own], chain["other"][~own], strict=True)))
+        return pd.DataFrame([(p, e) for p, e in found.items() if p != e], columns=["person", "entity"])
+
+    return entity.join(doubtful, "entity", "left_anti").unionByName(rows.unionByName(links).groupBy("entity").applyInPandas(solve, "person string, entity string"))
+
+
 def resolve_people(records: DataFrame) -> DataFrame:
     """(person, entity): the entity of every person that was merged with another one; entity is its smallest person.
 
     `records`: person, spellings and places (arrays of strings), orcid; one row as delivered, repeated rows change
     nothing, nulls and empty strings are passed over. Persons that match nobody have no row, nor has an empty table.
+    A profile that agrees with several which contradict each other is merged with one of them, see `merge_agreeing`.
     """
     people = cut(profiles(records))
     placed = cut(_placed(people).repartition("surname", "place"))
@@ -448,19 +531,27 @@ def resolve_people(records: DataFrame) -> DataFrame:
     if near.count() <= NEAR_PAIRS:
         near = F.broadcast(near)
     by_orcid = people.select("person", F.explode("orcids").alias("orcid")).withColumn("a", F.min("person").over(Window.partitionBy("orcid"))).where(F.col("person") != F.col("a")).select("a", F.col("person").alias("b"))
-    edges = new = cut(_matched(placed, near).unionByName(by_orcid).distinct())
-    while True:
-        entity = cut(components(edges))
-        # merged profiles stand for their members with the union of what is known of them; those that grew are matched again
-        named = entity.unionByName(entity.select(F.col("entity").alias("person"), "entity").distinct())
-        union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
-        merged = named.join(people, "person").groupBy("entity").agg(*[union(c) for c in ("forms", "givens", "middles", "places", "orcids")]).withColumnRenamed("entity", "person")
-        now = cut(placed.join(named, "person", "left_anti").unionByName(_placed(merged)))
-        grown = new.select(F.col("a").alias("person")).join(named, "person").select(F.col("entity").alias("person")).distinct()
-        new = cut(_matched(now, near, grown))
-        if new.isEmpty():
-            return entity
-        edges = cut(edges.unionByName(new))
+    new = cut(_matched(placed, near).unionByName(by_orcid).distinct())
+    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+    labels = merged = None
+    current = people
+    while not new.isEmpty():
+        # merged profiles stand for their members with the union of what is known of them; those that grew are matched
+        # again, with whatever stands in their blocks by now
+        step = cut(_settled(new, current))
+        named = step.unionByName(step.select(F.col("entity").alias("person"), "entity").distinct())
+        grown = named.join(current, "person").groupBy("entity").agg(*[union(c) for c in ("forms", "givens", "middles", "places", "orcids")]).withColumnRenamed("entity", "person")
+        if labels is None:
+            labels, merged = step, cut(grown)
+        else:
+            further = step.select(F.col("person").alias("entity"), F.col("entity").alias("to"))
+            labels = cut(labels.join(further, "entity", "left").select("person", F.coalesce("to", "entity").alias("entity")).unionByName(step))
+            merged = cut(merged.join(named, "person", "left_anti").unionByName(grown))
+        gone = labels.select("person").unionByName(labels.select(F.col("entity").alias("person")))
+        current = people.join(gone, "person", "left_anti").unionByName(merged)
+        now = placed.join(gone, "person", "left_anti").unionByName(_placed(merged))
+        new = cut(_matched(now, near, step.select(F.col("entity").alias("person")).distinct()))
+    return labels if labels is not None else people.sparkSession.createDataFrame([], "person string, entity string")
 
 
 def entity_pairs(entity: DataFrame) -> DataFrame:

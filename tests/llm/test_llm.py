@@ -86,6 +86,18 @@ def test_merged_givens_decide_again(spark):
     assert got == {("A1", "A2"), ("A1", "A3"), ("A2", "A3"), ("B1", "B2")}
 
 
+@pytest.mark.parametrize(
+    "rows,pairs",
+    [
+        ([("A", ["Ann Lurbron"], ["I1"], "o1"), ("B", ["Ann Lurbron"], ["I1"], "o2"), ("X", ["Ann Lurbron"], ["I1"], None)], {("A", "X")}),
+        ([("A", ["Ann B. Lurbron"], ["I1"], None), ("B", ["Ann Lurbron"], ["I1"], None), ("C", ["Ann C. Lurbron"], ["I1"], None)], {("A", "B")}),
+        ([("A", ["Ann B. Lurbron"], ["I1"], None), ("B", ["Ann Lurbron"], ["I1", "I2"], None), ("C", ["Ann C. Lurbron"], ["I1", "I2"], None)], {("B", "C")}),
+    ],
+)
+def test_contradictions_hold_for_whole_profiles(spark, rows, pairs):
+    assert {tuple(r) for r in names.entity_pairs(names.resolve_people(records(spark, rows))).collect()} == pairs
+
+
 def test_candidates_without_given_name(spark):
     rows = [("A1", ["J. Velmark"], ["I1"], None), ("A2", ["J. Velmark"], ["I1"], None), ("A3", ["John Velmark"], ["I1"], None)]  # all one
     rows += [("B1", ["J. Oberlin"], ["I2"], None), ("B2", ["J. Oberlin"], ["I2"], None), ("B3", ["John Oberlin"], ["I2"], None), ("B4", ["Jane Oberlin"], ["I2"], None)]  # twins that fit two people
