@@ -7,7 +7,8 @@ beyond that run's end. Ids that are no integers form a space of their own, so th
 At scale: keys are cut into cells of CELL numbers, so runs, and the as-of match, are computed by windows that hold at
 most CELL keys and CELL distinct targets each, however many references name one target; runs are split at cell
 borders. References are reduced to distinct targets (with map-side combine) before the match, and meet the dangling
-targets again in a join in which the HOT most referenced targets, a fixed number, travel by broadcast.
+targets again in a join in which the HOT most referenced targets, dangling or not, a fixed number, travel by broadcast:
+rows of hot targets that exist are left out before the shuffle, those of hot targets that dangle are spread over it.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from marginalia.functions.ids import id_number, id_space
 
 #: Width of a cell of key numbers: the most keys that one window group can hold.
 CELL = 1 << 16
-#: Number of most referenced dangling targets that are broadcast; every other one holds under 1/HOT of the rows.
+#: Number of most referenced targets that are broadcast with their verdict; every other one holds under 1/HOT of the rows.
 HOT = 1000
 
 
@@ -64,9 +65,10 @@ def dangling_references(references: DataFrame, parents: DataFrame) -> DataFrame:
     rows = references.where(F.col("target_id").isNotNull()).select("target_id", F.struct(*[F.col(f"`{c}`") for c in references.columns]).alias("row"))
     targets = rows.groupBy("target_id").agg(F.count(F.lit(1)).alias("n_refs"))
     lost = dangling_targets(targets, contiguous_runs(parents))
-    hot = lost.orderBy(F.desc("n_refs"), "target_id").limit(HOT).select(F.col("target_id").alias("hot"))
-    # a row of a hot target is decided already; a key of its own spreads it over the shuffle
+    most = targets.orderBy(F.desc("n_refs"), "target_id").limit(HOT)
+    hot = most.join(lost.select("target_id", F.lit(True).alias("dead")), "target_id", "left").select(F.col("target_id").alias("hot"), F.coalesce("dead", F.lit(False)).alias("dead"))
+    # a row of a hot target is decided already; where it dangles, a key of its own spreads it over the shuffle
     spread = F.concat(F.lit("\u0000"), F.xxhash64("row").cast("string"))
-    keyed = rows.join(F.broadcast(hot), F.col("target_id") == F.col("hot"), "left").select("row", "hot", F.when(F.col("hot").isNotNull(), spread).otherwise(F.col("target_id")).alias("key"))
+    keyed = rows.join(F.broadcast(hot), F.col("target_id") == F.col("hot"), "left").where(F.col("hot").isNull() | F.col("dead")).select("row", "hot", F.when(F.col("hot").isNotNull(), spread).otherwise(F.col("target_id")).alias("key"))
     found = keyed.join(lost.select(F.col("target_id").alias("lost")), F.col("key") == F.col("lost"), "left")
     return found.where(F.col("hot").isNotNull() | F.col("lost").isNotNull()).select("row.*")

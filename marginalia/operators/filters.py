@@ -56,7 +56,7 @@ def since(shards: DataFrame, date: str) -> DataFrame:
 def pending(shards: DataFrame, completed: DataFrame, force: bool = False, most: int | None = None) -> DataFrame:
     """Shards without those of `completed` (shard_idx), unless forced; at most `most` of them, in order of the listing."""
     left = shards if force else shards.join(completed.select("shard_idx"), "shard_idx", "left_anti")
-    return left if most is None else left.orderBy("shard_idx").limit(most)
+    return left if most is None else left.orderBy("shard_idx", *(["url"] if "url" in left.columns else [])).limit(most)
 
 
 def embeddable(works: DataFrame, text: str = "text") -> DataFrame:

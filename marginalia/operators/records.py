@@ -148,6 +148,16 @@ BUILDERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+def coerce(table: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of `table`, taken by their place, under the names and types of `schema`; values that fit no type are null.
+
+    A table with another number of columns is an error.
+    """
+    if len(table.columns) != len(schema.fields):
+        raise ValueError(f"{len(table.columns)} columns, {len(schema.fields)} expected")
+    return table.toDF(*[f"_{i}" for i in range(len(schema.fields))]).select(*[F.col(f"_{i}").try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
+
+
 def build_tables(parsed: DataFrame, keep_shard: bool = False) -> dict[str, DataFrame]:
     """All tables of parsed records (w, shard_updated_date, oa_shard_idx), as lazy projections of one input.
 

@@ -2,8 +2,8 @@
 
 Rows are first counted by (key, value), with map-side combine, so a hot key is spread over its values and arrives as
 at most one row per value and task. Distinct counts, modes and percentiles then come from the weighted values. For
-percentiles, keys with very many distinct values are cut into value ranges of about equal size, so no window holds
-more than a fraction of a key.
+percentiles, the weighted values are ranged by key and value over tasks of about equal size, so that a key with very
+many distinct values spreads over several, and no window holds more than a task's share of a key.
 """
 
 from __future__ import annotations
@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ranges a key with many distinct values is cut into, and the number of such keys that can be cut; both bound what is broadcast.
-RANGES, WIDE_KEYS, WIDE = 64, 1000, 50_000
+from marginalia.sources.tables import cut
 
 
 def value_frequencies(rows: DataFrame, key: str, value: str) -> DataFrame:
@@ -40,14 +39,10 @@ def weighted_percentiles(frequencies: DataFrame, fractions: list[float]) -> Data
 
     Null values are left out; a key without values has no row. Values must be ordered by their type.
     """
-    weighted = frequencies.where(F.col("value").isNotNull())
-    wide = weighted.groupBy("key").agg(F.count(F.lit(1)).alias("width")).where(F.col("width") > WIDE).orderBy(F.desc("width")).limit(WIDE_KEYS)
-    # percentile_approx merges sketches of bounded size; only the place of the cuts depends on it, never the result
-    cuts = weighted.join(F.broadcast(wide), weighted["key"].eqNullSafe(wide["key"]), "left_semi").groupBy("key").agg(
-        F.percentile_approx("value", [i / RANGES for i in range(1, RANGES)], 1000).alias("cuts")
-    ).withColumnRenamed("key", "_key")
-    ranged = weighted.join(F.broadcast(cuts), F.col("key").eqNullSafe(F.col("_key")), "left").withColumn("range", F.coalesce(F.size(F.filter("cuts", lambda c: c < F.col("value"))), F.lit(0)))
-    ranged = ranged.select("key", "range", "value", "n")
+    weighted = frequencies.where(F.col("value").isNotNull()).select("key", "value", "n")
+    tasks = int(frequencies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # written once: the bounds of the ranges come from a sample and must be the same in all that follows
+    ranged = cut(weighted.repartitionByRange(tasks, "key", "value").withColumn("range", F.spark_partition_id()))
     by_range = ranged.groupBy("key", "range").agg(F.sum("n").alias("in_range"))
     before = Window.partitionBy("key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_range.select(F.col("key").alias("_k"), F.col("range").alias("_r"), F.coalesce(F.sum("in_range").over(before), F.lit(0)).alias("offset"), F.sum("in_range").over(Window.partitionBy("key")).alias("total"))

@@ -35,11 +35,12 @@ def last_pool(tokens: DataFrame, key: str, vector: str, order: str, mask: str |
 
 
 def existing_vectors(vectors: DataFrame) -> DataFrame | None:
-    """(work_id, content_hash, embedding) of an earlier output, one per work; None where it lacks a column, which forces a full run."""
+    """(work_id, content_hash, embedding) of an earlier output, one per work and hash; None where it lacks a column, which forces a full run."""
     if not {"work_id", "content_hash", "embedding"} <= set(vectors.columns):
         return None
     known = vectors.where(F.col("work_id").isNotNull() & F.col("content_hash").isNotNull())
-    return known.groupBy("work_id").agg(F.max_by(F.struct("content_hash", "embedding"), F.struct("content_hash", "embedding")).alias("v")).select("work_id", "v.content_hash", "v.embedding")
+    # a work may have vectors of several versions: the one of its present hash is the one to carry
+    return known.groupBy("work_id", "content_hash").agg(F.max("embedding").alias("embedding"))
 
 
 def split_carried(works: DataFrame, existing: DataFrame | None) -> tuple[DataFrame, DataFrame]:

@@ -31,7 +31,7 @@ def parser() -> argparse.ArgumentParser:
 
     run = command("run", "shards to raw tables")
     run.add_argument("--manifest", required=True)
-    for flag in ("concurrency", "read-timeout", "max-retries", "outer-retries", "retry-delay", "zstd-level", "max-shards"):
+    for flag in ("max-retries", "outer-retries", "retry-delay", "zstd-level", "max-shards"):
         run.add_argument(f"--{flag}", type=int)
     for flag, name in (("domain", "domains"), ("topic", "topics"), ("language", "languages"), ("work-type", "work_types")):
         run.add_argument(f"--{flag}", dest=name, action="append", default=[])
@@ -39,9 +39,8 @@ def parser() -> argparse.ArgumentParser:
         run.add_argument(f"--{flag}", action="store_true")
     run.add_argument("--since")
     hive = command("hive", "raw tables to year and bucket partitions")
-    for flag in ("zstd-level", "row-group-size", "num-shards", "threads"):
+    for flag in ("zstd-level", "row-group-size", "num-shards"):
         hive.add_argument(f"--{flag}", type=int)
-    hive.add_argument("--memory-limit")
     for flag in ("force", "dry-run"):
         hive.add_argument(f"--{flag}", action="store_true")
     for name in ("push", "pull"):
@@ -86,27 +85,38 @@ def _run(spark: SparkSession, args: argparse.Namespace, c: settings.Config, outp
     state = RunState.load(output)
     state.started_at = now()
     ingest.delete_shards(raw, gone)
-    failed, began = 0, time.time()
+    failed, began = [], time.time()
     if count:
-        passes = settings.setting("outer_retries", args.outer_retries, c.outer_retries)
-        metrics = ingest.with_retries(lambda: ingest.ingest(spark, todo, raw, work_filter, not args.lenient, settings.setting("zstd_level", args.zstd_level, c.zstd_level)), passes).collect()
+        # a further attempt at a shard is a further pass over the failed ones
+        passes = settings.setting("outer_retries", args.outer_retries, c.outer_retries) + (args.max_retries or c.max_retries or 0)
+        delay = settings.setting("retry_delay", args.retry_delay, c.retry_delay)
+        options = {"work_filter": work_filter, "strict": not args.lenient, "zstd_level": settings.setting("zstd_level", args.zstd_level, c.zstd_level)}
+        metrics, failed = ingest.ingest_isolated(spark, todo, raw, passes, lambda _: time.sleep(delay), **options)
         written = sum(r["written"] for r in metrics)
         print(f"{format_number(written)} of {format_number(sum(r['scanned'] for r in metrics))} records kept in {format_elapsed(time.time() - began)}")
         dates = sorted({r["updated_date"] for r in todo.select("updated_date").collect() if r["updated_date"]})
-        numbers = [r["shard_idx"] for r in todo.select("shard_idx").collect()]
-        append_log(output, {"shards_processed": numbers, "shards_removed": gone, "updated_dates": dates, "rows_written": written, "failed": failed})
-        state.completed_shards = sorted({*state.completed_shards, *numbers} - set(gone))
+        numbers = [r["shard_idx"] for r in todo.select("shard_idx").collect() if r["shard_idx"] not in failed]
+        append_log(output, {"shards_processed": numbers, "shards_removed": gone, "updated_dates": dates, "rows_written": written, "failed": len(failed)})
+        state.completed_shards = sorted({*state.completed_shards, *numbers} - {*gone, *failed})
+        per = {r["oa_shard_idx"]: r for r in metrics}
+        outcomes = spark.createDataFrame([(n, n not in failed, per.get(n, {}).get("written", 0), per.get(n, {}).get("scanned", 0)) for n in [*numbers, *failed]], "shard_idx int, ok boolean, rows long, scanned long")
+        print("run:", manifest.run_summary(outcomes).first().asDict())
         state.last_sync_date = dates[-1] if dates else state.last_sync_date
-    manifest.save_snapshot(shards if args.max_shards is None and not args.since else shards.join(todo.select("url").unionByName(shards.join(done, "shard_idx").select("url")), "url", "left_semi"), snapshot)
+    # only shards that are whole now are known to the next run
+    manifest.save_snapshot(manifest.gather(shards, ingest.completed_shards(spark, raw)), snapshot)
     state.manifest_shard_count, state.finished_at, state.filter = shards.count(), now(), vars(work_filter)
     state.save(output)
+    if failed:
+        print(f"failed shards: {failed}; later stages wait for a run without failures")
+        return 1
     if args.hive or c.hive.is_enabled():
         layout.build_layout(spark, raw, os.path.join(output, "hive"), snapshot, c.hive.zstd_level or 8, c.hive.row_group_size or 500_000, c.hive.num_shards or 4)
         if args.embed or c.embed.is_enabled():
             _embed(spark, parser().parse_args(["embed", "-o", output]), c, output)
         if args.clean_raw or c.hive.clean_raw:
-            ingest.delete_shards(raw, list(range(state.manifest_shard_count)))
-    return 1 if failed else 0
+            # the layout is made of all raw shards, so the next run reads them again
+            ingest.delete_shards(raw, [r["shard_idx"] for r in shards.select("shard_idx").collect()])
+    return 0
 
 
 def _embed(spark: SparkSession, args: argparse.Namespace, c: settings.Config, output: str) -> int:

@@ -166,9 +166,14 @@ def embed_works(works: DataFrame, existing: DataFrame | None, make: Callable[[],
 def run_embed(spark: SparkSession, hive: str, output: str, make: Callable[[], Embedder], force: bool = False, batch_size: int = 64, max_rows: int | None = None) -> None:
     """Stage the vectors of the works under `hive` and put them in place; the old output is the input of the carry-over."""
     works = spark.read.parquet(os.path.join(hive, "works")).select("work_id", "title", "abstract_text", "content_hash")
+    staging, old = f"{output}.staging", f"{output}.old"
+    if os.path.isdir(old) and not os.path.isdir(output):  # an earlier run ended between its two renames
+        os.rename(old, output)
     existing = spark.read.parquet(output) if os.path.isdir(output) and not force else None
-    staging = f"{output}.staging"
     shutil.rmtree(staging, ignore_errors=True)
     writer(embed_works(works, existing, make, batch_size, max_rows), 3, 500_000).mode("overwrite").parquet(staging)
-    shutil.rmtree(output, ignore_errors=True)
+    shutil.rmtree(old, ignore_errors=True)
+    if os.path.isdir(output):
+        os.rename(output, old)
     os.rename(staging, output)
+    shutil.rmtree(old, ignore_errors=True)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import glob
+import json
 import os
 import shutil
 import time
@@ -16,6 +18,7 @@ from marginalia.operators.filters import WorkFilter
 from marginalia.operators.records import build_tables
 from marginalia.schemas import SHARDS, TABLES
 from marginalia.sources import works as source
+from marginalia.sources.manifest import write_json
 from marginalia.sources.tables import cut
 
 
@@ -48,12 +51,17 @@ def writer(df: DataFrame, zstd_level: int, row_group_size: int):
     return w.option("parquet.block.row.count.limit", row_group_size)
 
 
+#: Folder with one document for each shard whose tables were all written.
+MARKERS = "_complete"
+
+
 def ingest(spark: SparkSession, shards: DataFrame, raw: str, work_filter: WorkFilter | None = None, strict: bool = True, zstd_level: int = 3, row_group_size: int = 500_000, paths: list[str] | None = None) -> DataFrame:
     """Write the tables of `shards` under `raw`, each partitioned by shard, and return the counters per shard.
 
     The input is parsed once: the kept records go to the shared checkpoint folder and all tables are projections of
-    them. Partitions of other shards stay as they are; writing a shard again replaces it. `paths` are the files to read
-    where they are not the shards' addresses.
+    them. Partitions of other shards stay as they are; writing a shard again replaces it. A shard counts as complete
+    only by its marker, which is removed before the first table is written and put back after the last. `paths` are the
+    files to read where they are not the shards' addresses.
     """
     if paths is None:
         paths = [r["url"] for r in shards.select("url").collect()]  # one per file
@@ -61,15 +69,57 @@ def ingest(spark: SparkSession, shards: DataFrame, raw: str, work_filter: WorkFi
     parsed = source.with_shards(source.parse_works(source.scan_lines(spark, paths), strict, keep_failures=True), shards)
     parsed = cut(parsed.select("w", "url", "shard_updated_date", "oa_shard_idx"))
     kept = parsed.where(F.col("w").isNotNull() & keep)
-    delete_shards(raw, [r["shard_idx"] for r in shards.select("shard_idx").collect()])
+    numbers = [r["shard_idx"] for r in shards.select("shard_idx").collect()]
+    delete_shards(raw, numbers)
     for name, table in build_tables(kept, keep_shard=True).items():
         out = writer(table, zstd_level, row_group_size).mode("overwrite").option("partitionOverwriteMode", "dynamic")
         out.partitionBy("oa_shard_idx").parquet(os.path.join(raw, name))
+    for n in numbers:
+        write_json(os.path.join(raw, MARKERS, f"{n}.json"), {"files": {t: len(_files(raw, t, n)) for t in TABLES}})
     return source.ingest_metrics(parsed, keep, "oa_shard_idx")
 
 
+def ingest_isolated(spark: SparkSession, shards: DataFrame, raw: str, passes: int = 0, pause: Callable[[int], None] = lambda _: None, **options) -> tuple[list[dict], list[int]]:
+    """`ingest` of shards whose failures must not touch each other: counters of the good ones, numbers of the failed.
+
+    A batch that fails is halved until the bad shards stand alone; they are tried again in `passes` further passes, with
+    `pause` before each. A full disk and interruption end the run.
+    """
+    counters: list[dict] = []
+
+    def attempt(numbers: list[int]) -> list[int]:
+        try:
+            found = ingest(spark, shards.where(F.col("shard_idx").isin(numbers)), raw, **options).collect()
+            counters.extend(r.asDict() for r in found)
+            return []
+        except Exception as error:
+            delete_shards(raw, numbers)
+            if getattr(error, "errno", None) == 28:
+                raise
+            if len(numbers) == 1:
+                return numbers
+            half = len(numbers) // 2
+            return attempt(numbers[:half]) + attempt(numbers[half:])
+
+    left = sorted(r["shard_idx"] for r in shards.select("shard_idx").collect())  # one row per shard file
+    left = attempt(left) if left else left
+    for n in range(passes):
+        if not left:
+            break
+        pause(n)
+        left = attempt(left)
+    return counters, left
+
+
+def _files(raw: str, name: str, number: int) -> list[str]:
+    return glob.glob(os.path.join(raw, name, f"oa_shard_idx={number}", "*.parquet"))
+
+
 def delete_shards(raw: str, numbers: list[int]) -> int:
-    """Remove the partitions of shards from every table; how many folders there were."""
+    """Remove the partitions of shards from every table, and their markers first; how many folders there were."""
+    for n in numbers:
+        with contextlib.suppress(FileNotFoundError):
+            os.remove(os.path.join(raw, MARKERS, f"{n}.json"))
     folders = [f for n in numbers for t in TABLES if os.path.isdir(f := os.path.join(raw, t, f"oa_shard_idx={n}"))]
     for folder in folders:
         shutil.rmtree(folder)
@@ -93,16 +143,22 @@ def valid_footer(path: str) -> bool:
 
 
 def completed_shards(spark: SparkSession, raw: str) -> DataFrame:
-    """(shard_idx) of shards of which every table has a folder whose files all have a readable footer."""
-    found: dict[int, int] = {}
-    for name in TABLES:
-        for folder in glob.glob(os.path.join(raw, name, "oa_shard_idx=*")):
-            number = folder.rpartition("=")[2]
-            files = glob.glob(os.path.join(folder, "*.parquet"))
-            if number.lstrip("-").isdigit() and files and all(map(valid_footer, files)):
-                found[int(number)] = found.get(int(number), 0) + 1
-    # children of a shard may be empty, and Spark writes no file for them: the fact table decides
-    done = [(n,) for n in found if os.path.isdir(os.path.join(raw, "works", f"oa_shard_idx={n}"))]
+    """(shard_idx) of shards that were written whole: their marker is there, and of every table the files it names.
+
+    Every file must have a readable footer. A table that the shard has no rows for has no file.
+    """
+    done = []
+    for path in sorted(glob.glob(os.path.join(raw, MARKERS, "*.json"))):
+        try:
+            number = int(os.path.basename(path).removesuffix(".json"))
+            with open(path, encoding="utf-8") as f:
+                expected = json.load(f)["files"]
+            files = {t: _files(raw, t, number) for t in TABLES}
+            whole = all(len(files[t]) == expected.get(t) for t in TABLES)
+        except (OSError, ValueError, KeyError, TypeError, AttributeError):
+            continue
+        if whole and all(valid_footer(f) for t in TABLES for f in files[t]):
+            done.append((number,))
     return spark.createDataFrame(done, "shard_idx int")
 
 

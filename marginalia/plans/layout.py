@@ -30,8 +30,9 @@ def file_hash(path: str) -> str:
 def spread(placed: DataFrame) -> DataFrame:
     """Rows by (pub_year, shard), the large ones over several tasks."""
     sizes = placed.groupBy("pub_year", "shard").agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_TASK).cast("int").alias("_tasks")).where("_tasks > 1")
-    # under rows / ROWS_PER_TASK rows: as many as there are large partitions
-    salted = placed.join(sizes, ["pub_year", "shard"], "left").withColumn("_salt", F.pmod(F.xxhash64("work_id", F.monotonically_increasing_id()), F.coalesce("_tasks", F.lit(1))))
+    # under rows / ROWS_PER_TASK rows: as many as there are large partitions; the salt is the row's own, so that a
+    # repeated task sends each row where it went before
+    salted = placed.join(sizes, ["pub_year", "shard"], "left").withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in placed.columns]), F.coalesce("_tasks", F.lit(1))))
     return salted.repartition("pub_year", "shard", "_salt").drop("_tasks", "_salt")
 
 

@@ -90,9 +90,14 @@ def plan_changes(old: DataFrame | None, new: DataFrame, complete: DataFrame) ->
     return diff(old, stabilise(new, old), complete)
 
 
-def summary(shards: DataFrame) -> DataFrame:
-    """One row: n_shards, record_count, content_length (nulls ignored), first_date, last_date, n_dates."""
-    return shards.agg(
+def gather(shards: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The shards of these numbers (shard_idx), such as the set to try again after a run in which they failed."""
+    return shards.join(numbers.select("shard_idx").distinct(), "shard_idx", "left_semi").select(*shards.columns)
+
+
+def summary(shards: DataFrame, *by: str) -> DataFrame:
+    """One row, or one for each value of the columns `by`: n_shards, record_count, content_length (nulls ignored), first_date, last_date, n_dates."""
+    return shards.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_shards"), F.sum("record_count").alias("record_count"), F.sum("content_length").alias("content_length"),
         F.min("updated_date").alias("first_date"), F.max("updated_date").alias("last_date"), F.count_distinct("updated_date").alias("n_dates"),
     )

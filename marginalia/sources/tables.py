@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import re
 import tempfile
 import uuid
 
@@ -17,10 +18,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def footer_counts(files: DataFrame) -> DataFrame:
+    """(n_rows, n_files) of a parquet table: the rows are counted without reading a column, the files from the listing.
+
+    Files without rows count; an empty table has one row of zeros.
+    """
+    return files.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_files", F.lit(len(files.inputFiles())).cast("long"))
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, which a cluster sets; where it is unset a temporary one."""
+    """The folder that all executors share: spark.checkpoint.dir, which a cluster sets.
+
+    Where it is unset a temporary one, in local mode only: elsewhere a folder of one machine would lose tables.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="marginalia-"))
         folder = spark.sparkContext.getCheckpointDir()
@@ -61,5 +75,5 @@ def bounded_sample(df: DataFrame, rows: int, *by: str) -> DataFrame:
     n = df.count()
     key = F.xxhash64(*by)
     if n > 2 * rows:
-        df = df.where(F.pmod(key, F.lit(1_000_003)) < int(1_000_003 * 2 * rows / n))
+        df = df.where(F.pmod(key, F.lit(1 << 48)) < int((1 << 48) * 2 * rows / n))  # fine enough for any number of rows
     return df.orderBy(key, *by).limit(rows)

@@ -35,6 +35,16 @@ def test_dangling_empty(spark):
     assert dangling.dangling_references(refs.limit(0), none).count() == 0
 
 
+def test_hot_targets(spark, monkeypatch):
+    """A target with most rows, dangling or not, next to others; only the hottest two are broadcast."""
+    monkeypatch.setattr(dangling, "HOT", 2)
+    rows = [("W1", i) for i in range(300)] + [("W2", i) for i in range(200)] + [("W3", 1), ("W4", 1), ("W5", 1), ("W5", 1), (None, 1)]
+    references = spark.createDataFrame(rows, "target_id string, n int")
+    parents = spark.createDataFrame([("W1",), ("W3",)], "parent_id string")
+    got = sorted(tuple(r) for r in dangling.dangling_references(references, parents).collect())
+    assert got == sorted(r for r in rows if r[0] in ("W2", "W4", "W5"))
+
+
 def test_runs_cross_cells(spark):
     keys = spark.createDataFrame([(f"W{n}",) for n in range(dangling.CELL - 3, dangling.CELL + 3)], "parent_id string")
     runs = {(r["run_start"], r["run_end"]) for r in dangling.contiguous_runs(keys).collect()}
@@ -77,8 +87,7 @@ def test_lists(spark):
     assert got == {(1, 0, 0, "a"), (1, 0, 1, None), (1, 2, 0, "")}
 
 
-def test_skew_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(skew, "WIDE", 20)
+def test_skew_against_brute_force(spark):
     rnd = random.Random(1)
     rows = [("hot", rnd.randrange(500)) for _ in range(3000)] + [(f"k{i % 7}", rnd.choice([None, 1, 2, 2, 3])) for i in range(500)] + [(None, 4), ("nulls", None)]
     f = skew.value_frequencies(spark.createDataFrame(rows, "k string, v int"), "k", "v").persist()

@@ -1,5 +1,6 @@
 """Scalar functions, strict parsing, tables, filters, layout, listings, embedding, transfer, settings and the command line."""
 
+import glob
 import gzip
 import json
 import os
@@ -354,3 +355,61 @@ def test_stream(spark, tmp_path):
 
 def test_missing_table(spark, tmp_path):
     assert partitions.read_or_empty(spark, str(tmp_path / "none"), schemas.TABLES["citations"]).count() == 0
+
+
+def test_failures_stay_with_their_shard(spark, tmp_path):
+    listing = write_shards(tmp_path / "in", [{"id": SITE + "W1"}], [{"id": SITE + "W2"}], [{"id": SITE + "W3"}])
+    shards = manifest.read_manifest(spark, listing)
+    bad = json.loads((tmp_path / "in/manifest.json").read_text())["entries"][1]["url"].removeprefix("file://")
+    with open(bad, "rb") as f:
+        whole = f.read()
+    with open(bad, "wb") as f:
+        f.write(whole[:20] + b"no gzip" + whole[20:])
+    raw, pauses = str(tmp_path / "raw"), []
+
+    def mend(n):
+        pauses.append(n)
+        if n == 1:
+            with open(bad, "wb") as f:
+                f.write(whole)
+
+    counters, failed = ingest.ingest_isolated(spark, shards, raw)
+    assert failed == [1] and sorted(c["oa_shard_idx"] for c in counters) == [0, 2]
+    assert {r["shard_idx"] for r in ingest.completed_shards(spark, raw).collect()} == {0, 2}
+    assert {r["work_id"] for r in spark.read.parquet(f"{raw}/works").collect()} == {"W1", "W3"}
+    counters, failed = ingest.ingest_isolated(spark, manifest.gather(shards, spark.createDataFrame([(1,)], "shard_idx int")), raw, passes=3, pause=mend)
+    assert failed == [] and pauses == [0, 1] and {r["shard_idx"] for r in ingest.completed_shards(spark, raw).collect()} == {0, 1, 2}
+
+
+def test_broken_writes_are_not_complete(spark, tmp_path, monkeypatch):
+    listing = write_shards(tmp_path / "in", [RICH], [{"id": SITE + "W2"}])
+    shards, raw = manifest.read_manifest(spark, listing), str(tmp_path / "raw")
+    done = lambda: {r["shard_idx"] for r in ingest.completed_shards(spark, raw).collect()}
+    ingest.ingest(spark, shards, raw)
+    assert done() == {0, 1}
+    real = ingest.build_tables
+
+    def broken(*args, **kwargs):  # the run ends between two tables
+        tables = real(*args, **kwargs)
+        return {"works": tables["works"], "works_keys": tables["works_keys"].select(F.raise_error(F.lit("end")).alias("x"), "*")}
+
+    monkeypatch.setattr(ingest, "build_tables", broken)
+    with pytest.raises(Exception):  # noqa: B017
+        ingest.ingest(spark, shards.where("shard_idx = 0"), raw)
+    assert os.path.isdir(f"{raw}/works/oa_shard_idx=0") and done() == {1}
+    monkeypatch.undo()
+    ingest.ingest(spark, shards.where("shard_idx = 0"), raw)
+    assert done() == {0, 1}
+    path = glob.glob(f"{raw}/works/oa_shard_idx=1/*.parquet")[0]
+    with open(path, "wb") as f:
+        f.write(b"PAR1")
+    assert done() == {0}
+    os.remove(glob.glob(f"{raw}/citations/oa_shard_idx=0/*.parquet")[0])
+    assert done() == set()
+
+
+def test_coerce_and_summary(spark):
+    wanted = spark.createDataFrame([], "a string, b int").schema
+    assert [tuple(r) for r in records.coerce(spark.createDataFrame([(1, "2"), (None, "x")], "x int, y string"), wanted).collect()] == [("1", 2), (None, None)]
+    with pytest.raises(ValueError):
+        records.coerce(spark.createDataFrame([(1,)], "x int"), wanted)
