@@ -6,12 +6,16 @@ content's root, and the least density on its path from the body is the threshold
 out. Fragments without links, such as titles and abstracts, have no side branches, so they are kept whole. LaTeX, wiki
 and Markdown signs in the text of the DOM are then rewritten.
 
-Texts are handled one by one in Arrow batches; texts without any character that markup needs stay in the JVM.
+Code and formulas are set aside before anything else is rewritten and put back at the end as they were.
+
+Texts are handled one by one in Arrow batches; texts without any of the characters that all markup needs (SIGNS) stay in
+the JVM.
 """
 
 from __future__ import annotations
 
 import html
+import html.entities
 import math
 import re
 import unicodedata
@@ -37,6 +41,8 @@ ENTITIES = (
 _E = "|".join(sorted(ELEMENTS.split(), key=lambda x: (-len(x), x)))
 _PREFIX = "(?:jats|mml|xlink|tei|xhtml|html|m|ns\\d)"
 _N = f"(?:{_PREFIX}:[a-z][a-z0-9-]*|{_E})"
+#: Every name that HTML 5 defines with a final semicolon.
+_NAMED = "|".join(sorted(n[:-1] for n in html.entities.html5 if n.endswith(";")))
 _REF = "|".join(ENTITIES.split()) + "|[a-zA-Z](?:acute|grave|circ|uml|tilde|cedil|ring|slash|caron)"
 _COMMANDS = (
     "begin end emph textbf textit textsc textrm texttt textsf textsubscript textsuperscript underline mathrm mathbf mathit mathcal mathbb cite citep citet ref eqref label section subsection subsubsection paragraph item footnote url href mbox "
@@ -53,14 +59,14 @@ PATTERNS = {
         r"<!--|-->|<!\[CDATA\[|\]\]>|<!DOCTYPE|<\?xml",
     ],
     "reference": [
-        rf"&(?:amp;)*#(?:\d{{2,6}}|[xX][0-9a-fA-F]{{2,5}})|&(?:amp;)*(?:{_REF});|&(?:{_REF})(?=[^a-zA-Z0-9=;]|$)",
+        rf"&(?:amp;)*#(?:\d{{2,6}}|[xX][0-9a-fA-F]{{2,5}})|&(?:amp;)*(?:{_NAMED});|&(?:{_REF})(?=[^a-zA-Z0-9=;]|$)",
         rf"(?<![\w&])(?:amp|lt|gt|quot|nbsp|apos);|(?<!\w)(?:amp;)+(?:#\d+|{_REF});|(?<![\w&])#\d{{3,5}};",
         r"(?i)\\u003[ce]|%3[ce](?=[\w/%])|\\x3[ce]",
     ],
     "latex": [
         r"(?<![\w:\\])\\(?:" + "|".join(_COMMANDS.split()) + r")(?![a-zA-Z\\])",
         r"\\[a-zA-Z]+\*?\s*[\[{]|\{\\[a-zA-Z]+|\\[\"'`^~=.]\s*\{?\\?[a-zA-Z]|(?<![\w:])\\[()\[\],;!%&$#_{}]|\\\\(?![\w.])|~\\|[\^_]\{",
-        r"\$\$|\$[^$\s][^$\n]{0,200}?[\\^_=][^$\n]{0,200}?\$|\$[a-zA-Z]\$|\$\\[a-zA-Z]+",
+        r"\$\$|\$(?![$\s])[^$\\^_=\n]*[\\^_=][^$\n]*(?<!\s)\$(?!\d)|\$[a-zA-Z]\$|\$\\[a-zA-Z]+",
         r"``[^`'\n]+''",
     ],
     "markdown": [
@@ -70,18 +76,20 @@ PATTERNS = {
         r"(?m)^\s{0,3}#{1,6}[ \t]+\S|\n\s{0,3}(?:={3,}|-{3,})[ \t]*(?:\n|$)|^[ \t]*\|.*\|[ \t]*$|^\s{0,3}[*+-][ \t]+\S.*\n(?s:.*?)^\s{0,3}[*+-][ \t]+\S|\n[*+-][ \t]+\S|^\s{0,3}>[ \t]+\S|^\d{1,3}[.)][ \t]+\S.*\n+\d{1,3}[.)][ \t]+\S",
     ],
     "wiki": [
-        r"\[\[(?!\s*-?\d+(?:\.\d+)?\s*[,;\]]\s*[-\d\[])[^\[\]\n]+(?:\]\]|\||$)|\{\{(?!\s*[-\d{])[^{}\n]{1,400}(?:\}\}|\|)|\{\||(?m:^\|[}-])|(?<![\d'])''+(?=[^\s'])[^'\n]+''+|'''(?=[^\s'])[^\n]{1,200}?'''",
+        r"\[\[(?!\s*-?\d+(?:\.\d+)?\s*[,;\]]\s*[-\d\[])[^\[\]\n]+(?:\]\]|\||$)|\{\{(?!\s*[-\d{])[^{}\n|]+(?:\}\}|\|)|\{\||(?m:^\|[}-])|(?<![\d'])''+(?=[^\s'])[^'\n]+''+|'''(?=[^\s'])[^\n]+?'''",
         r"(?m)^={2,6}[^=\n]+={2,6}\s*$|^[*#:;]{1,5}[ \t]*\S.*\n[*#:;]{1,5}[ \t]*\S|__[A-Z]{3,}__|\[https?://\S+(?:\s[^\]\n]*)?\]",
     ],
 }
-_FAMILIES = {name: [re.compile(p) for p in patterns] for name, patterns in PATTERNS.items()}
-#: No markup of the patterns above is possible without one of these.
-TRIGGER = r"[<>&\\$*_`|~^]|\[\[|\{\{|\]\(|\]\[|\]:|\[\^|\[http|''|==|\n|%3|amp;|lt;|gt;|quot;|nbsp;|apos;|#[0-9]{3}|#[ \t]|(?iu:jats|mml):"
+#: What every pattern of a family needs; no pattern of it is tried without.
+NEEDS = {"html": r"[<>:]", "reference": r"[&;\\%]", "latex": r"[\\${`]", "markdown": r"[\[*_~`#\n|>]", "wiki": r"[\[{|=\n_]|''"}
+_FAMILIES = {name: (re.compile(NEEDS[name]), [re.compile(p) for p in patterns]) for name, patterns in PATTERNS.items()}
+#: Every alternative of the patterns above needs one of these characters, or two apostrophes; most texts hold one.
+SIGNS = r"[<>&\\$*_`|~^#\[\]{}=%;:/\n]|''"
 
 _BLOCK = frozenset("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li list list-item main nav ol p para pre sec section summary table tbody td tfoot th thead title tr ul disp-formula disp-quote caption".split())
 _VOID = frozenset("br hr img input link meta col wbr source param inline-graphic".split())
 _SILENT = frozenset("script style head noscript iframe svg button select".split())
-_CODE = frozenset("pre".split())
+_CODE, _INLINE = frozenset("pre".split()), frozenset("code tt samp kbd monospace".split())
 _FORMULA = frozenset("math tex-math".split())
 _BULLETS = frozenset("li list-item".split())
 _SIGNS = {"grave": "\u0300", "acute": "\u0301", "circ": "\u0302", "tilde": "\u0303", "uml": "\u0308"}
@@ -92,7 +100,7 @@ def markup_kinds(text: str | None) -> list[str]:
     """The families of markup that the text holds, whole, damaged or escaped; none for null and empty texts."""
     if not text:
         return []
-    return [name for name, patterns in _FAMILIES.items() if any(p.search(text) for p in patterns)]
+    return [name for name, (needs, patterns) in _FAMILIES.items() if needs.search(text) and any(p.search(text) for p in patterns)]
 
 
 class Node:
@@ -174,7 +182,7 @@ def densities(root: Node) -> None:
 def content(root: Node) -> tuple[Node, float]:
     """The root of the content and the density below which its branches are left out."""
     densities(root)
-    if root.link_tags == 0 or root.tags < 5:
+    if root.link_tags == 0:  # without links no branch is a side branch
         return root, 0.0
     best = max(_walk(root), key=lambda n: n.total)
     least, node = best.density, best
@@ -194,7 +202,24 @@ def _texts(node: Node) -> str:
     return "".join(parts)
 
 
-def _render(root: Node, least: float) -> str:
+class _Kept:
+    """Code and formulas, set aside under marks that no rewriting touches."""
+
+    def __init__(self) -> None:
+        self.parts: list[str] = []
+
+    def put(self, part: str) -> str:
+        self.parts.append(part)
+        return f"\ue000{len(self.parts) - 1}\ue001"
+
+    def back(self, text: str) -> str:
+        # a part may hold marks of parts set aside before it
+        while re.search("\ue000\\d+\ue001", text):
+            text = re.sub("\ue000(\\d+)\ue001", lambda m: self.parts[int(m.group(1))], text)
+        return text
+
+
+def _render(root: Node, least: float, kept: _Kept) -> str:
     out: list[str] = []
     stack: list[object] = [root]
     while stack:
@@ -209,9 +234,11 @@ def _render(root: Node, least: float) -> str:
         if x.name in _SILENT or side:
             continue
         if x.name in _CODE:
-            out.append("\n```\n" + _texts(x).strip("\n") + "\n```\n")
+            out.append("\n" + kept.put("```\n" + _texts(x).strip("\n") + "\n```") + "\n")
+        elif x.name in _INLINE:
+            out.append(kept.put("`" + _texts(x).strip() + "`"))
         elif x.name in _FORMULA:
-            out.append(" $" + re.sub(r"\s+", " ", _texts(x)).strip() + "$ ")
+            out.append(" " + kept.put("$" + re.sub(r"\s+", " ", _texts(x)).strip() + "$") + " ")
         elif x.name in ("br", "hr"):
             out.append("\n")
         else:
@@ -242,7 +269,9 @@ def _latex(text: str) -> str:
         s = re.sub(r"\\item\b\s*", "\n- ", s)
         s = re.sub(r"~?\\(?:cite[a-z]*|ref|eqref|label|pageref)\*?(?:\[[^\]]*\])*\{[^{}]*\}?", "", s)
         s = re.sub(r"\\([`'^~\"=.cvur])\s*\{?\\?([a-zA-Z])\}?", lambda m: unicodedata.normalize("NFC", m.group(2) + _ACCENTS[m.group(1)]) if m.group(1) not in "cvur" or "{" in m.group() else m.group(), s)
-        for _ in range(3):
+        before = None
+        while s != before:  # commands within commands, from the innermost on; each pass shortens the text
+            before = s
             s = re.sub(r"\\(?:begin|end)\{[^{}]*\}", "\n", s)
             s = re.sub(r"\\[a-zA-Z]+\*?(?:\[[^\]]*\])?\{([^{}]*)\}", r"\1", s)
             s = re.sub(r"\{\\[a-zA-Z]+\s+([^{}]*)\}", r"\1", s)
@@ -283,8 +312,14 @@ def clean_text(text: str | None) -> str | None:
     kinds = markup_kinds(text)
     if not kinds:
         return text
-    for _ in range(3):
-        plain = re.sub(r"\\u003([ce])", lambda m: "<" if m.group(1) in "cC" else ">", text, flags=re.I)
+    # private marks of the text itself would be taken for those used here
+    text = re.sub("[\ue000\ue001]", "\ufffd", text)
+    kept = _Kept()
+    text = re.sub(r"(?s)```.+?```|(?m:^~~~[^\n]*$).+?(?m:^~~~[ \t]*$)|`[^`\n]+`(?!')", lambda m: kept.put(m.group()), text)
+    text = re.sub(r"(?s)\\begin\{verbatim\}(.*?)\\end\{verbatim\}", lambda m: "\n" + kept.put("```" + m.group(1) + "```") + "\n", text)
+    while True:  # until nothing is escaped; each pass shortens the text
+        plain = re.sub(r"&(?:amp;)+", "&amp;", text)
+        plain = re.sub(r"\\u003([ce])", lambda m: "<" if m.group(1) in "cC" else ">", plain, flags=re.I)
         plain = re.sub(r"(?i)%3c(?=[\w/])", "<", plain)
         plain = re.sub(r"(?i)(?<=[\w/])%3e", ">", plain)
         plain = re.sub(r"(?<![\w&;])((?:amp;)*(?:lt|gt|quot|nbsp|apos|#\d{3,5});)", r"&\1", plain) if "reference" in kinds else plain
@@ -293,6 +328,8 @@ def clean_text(text: str | None) -> str | None:
             break
         text = plain
     if "html" in kinds or re.search(r"</?[a-zA-Z]", text):
+        # a comparison of one-letter names is no tag: nothing in it is an attribute
+        text = re.sub(r"<([a-z]\s+[^\s<>=/][^<>=]*)>", r"&lt;\1&gt;", text)
         text = re.sub(rf"(?i)<\s+(/?)\s*({_N})\s*(/?)\s*>", r"<\1\2\3>", text)
         text = re.sub(rf"(?i)(?<![\w</:])(/?{_N}\s?/?>)(?!>)", r"<\1", text)
         text = re.sub(rf"(?i)(</?{_N})(?=\s+[^<>=]*(?:<|$))", r"\1>", text)
@@ -300,12 +337,12 @@ def clean_text(text: str | None) -> str | None:
         builder = _Builder()
         builder.feed(text)
         builder.close()
-        text = _render(*content(builder.root))
+        text = _render(*content(builder.root), kept)
     if re.search(r"[\\${]|[\^_]\{", text):
         text = _latex(text)
     text = _markdown(_wiki(text))
     text = re.sub(r"[ \t\u00a0]+", " ", text)
-    return re.sub(r"\s*\n\s*\n\s*", "\n\n", re.sub(r" *\n *", "\n", text)).strip()
+    return kept.back(re.sub(r"\s*\n\s*\n\s*", "\n\n", re.sub(r" *\n *", "\n", text)).strip())
 
 
 def clean_texts(texts: DataFrame, column: str = "text") -> DataFrame:
@@ -313,7 +350,7 @@ def clean_texts(texts: DataFrame, column: str = "text") -> DataFrame:
 
     Nulls keep null; other columns pass through, so columns of these two names must not be present in `texts`.
     """
-    given = texts.withColumn("_touched", F.coalesce(F.col(column).rlike(TRIGGER), F.lit(False)))
+    given = texts.withColumn("_touched", F.coalesce(F.col(column).rlike(SIGNS), F.lit(False)))
     plain = given.where(~F.col("_touched")).drop("_touched").withColumn("clean_text", F.col(column)).withColumn("markup", F.array().cast("array<string>"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

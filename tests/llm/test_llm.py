@@ -3,6 +3,7 @@
 import json
 import os
 import random
+import re
 import string
 
 import numpy as np
@@ -154,11 +155,29 @@ def test_clean(text, want):
     assert markup.clean_text(text) == want
 
 
-def test_trigger_passes_what_patterns_find(spark):
+def test_signs_stand_in_all_that_patterns_find(spark):
     # texts for the alternatives of the patterns, without a line break or bracket where they need none
     texts = [*MARKED, "# Introduction", "## Results of X", " #\ta", "jats:p Text", "mml:mi x", "JATS:title A", "a /i> b", "<!DOCTYPE a", "<?xml a", "a ]]> b", "a --> b", "lt; b", "#946; x", "\\x3c", "&beta b", "``a''", "$$a", "$a$", "a][1]", "[1]: http", "[^1]", "<https://a.example>", "__a__", "~~~", "| a |", "> a", "[[a", "{{a|", "|}", "'''a'''", "== a ==", "__TOC__", "[https://a.example b]"]
     assert [t for t in texts if not markup.markup_kinds(t)] == []
-    assert [r["t"] for r in spark.createDataFrame([(t,) for t in texts], "t string").where(~F.col("t").rlike(markup.TRIGGER)).collect()] == []
+    assert [r["t"] for r in spark.createDataFrame([(t,) for t in texts], "t string").where(~F.col("t").rlike(markup.SIGNS)).collect()] == []
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [("if a<b then b>c <i>x</i>", "if a<b then b>c x"), ("use <code>f(x)</code> now", "use `f(x)` now"), ("<pre>\\section{A} [[b|c]]</pre>", "```\n\\section{A} [[b|c]]\n```"), ("`**a**` **b**", "`**a**` b"),
+     ("\\textbf{\\emph{\\textit{\\textsc{\\underline{x}}}}}", "x"), ("&amp;amp;amp;amp;amp;amp;lt;i&amp;amp;gt;x", "x"), ("{{" + "a" * 500 + "}} end", "end"), ("a &rArr; b", "a ⇒ b"), ("\ue0001\ue001 <i>x</i>", "\ufffd1\ufffd x"),
+     ("<ul><li><a href='x'>Home</a></li></ul><p>A long paragraph of text, the content.</p>", "A long paragraph of text, the content."), ("<p>See <a href='x'>paper</a> now</p>", "See paper now")],
+)
+def test_nothing_is_lost_or_left(text, want):
+    assert markup.markup_kinds(text) and markup.clean_text(text) == want
+
+
+def test_signs_are_in_every_marked_text():
+    rnd, signs = random.Random(3), re.compile(markup.SIGNS)
+    for _ in range(4_000):
+        text = "".join(rnd.choice(["a", "b ", "1", ". ", ",", "(", ")", "-", "!", "amp", "lt", "jats", "br", "'", '"', "+", "@", "?", "<", "&", "$", "*", "\n", ";", ":", "/", "#", "[", "]"]) for _ in range(rnd.randint(1, 12)))
+        found = [name for name, patterns in markup.PATTERNS.items() if any(re.search(p, text) for p in patterns)]
+        assert markup.markup_kinds(text) == found and (signs.search(text) or not found)
 
 
 def test_density_leaves_menus_out():
