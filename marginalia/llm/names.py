@@ -42,6 +42,7 @@ GIVEN_SHARE = 200_000
 # Words of names.
 PARTICLES = frozenset("van von der den de la le du di da del dos das el al bin ten ter zu zur".split())
 TITLES = frozenset("dr prof professor mr mrs ms sir phd msc md bsc ma ba mba dphil jr sr ii iii iv junior senior".split())
+_WORDS = PARTICLES | TITLES
 NICKNAMES = {
     "alex": "alexander", "ali": "alice", "andy": "andrew", "annie": "anne", "antonio": "antonio", "tony": "antonio", "toni": "antonio", "becky": "rebecca", "ben": "benjamin", "benny": "benjamin", "beth": "elizabeth",
     "betty": "elizabeth", "bill": "william", "billy": "william", "bob": "robert", "bobby": "robert", "charlie": "charles", "chuck": "charles", "chris": "christopher", "dan": "daniel", "danny": "daniel", "dave": "david",
@@ -89,12 +90,23 @@ def _initials(word: str, others_mixed: bool) -> bool:
     return len(word) == 1 or (len(word) <= 3 and word.isupper() and others_mixed)
 
 
+#: A name in ASCII letters: a word, perhaps an initial, a word.
+_PLAIN = re.compile(r"([A-Z][a-z]+) (?:([A-Z])\.? )?([A-Z][a-z]+)")
+
+
 def parse_name(text: str, given_words: frozenset[str] = frozenset()) -> tuple[str, str, str] | None:
     """(surname, given name or its initial, other initials) of a person's name as typed, folded to lower case.
 
     Takes "Given Surname", "Surname, Given", "Surname G.M.", "Surname Given" (where given_words tells the order),
     titles, particles and double names. None for a text without a letter.
     """
+    plain = _PLAIN.fullmatch(text)
+    if plain:  # the usual form, for which what follows comes to the same
+        given, middle, surname = plain[1].lower(), (plain[2] or "").lower(), plain[3].lower()
+        if not {given, surname} & _WORDS:
+            if not middle and surname in given_words and given not in given_words:
+                given, surname = surname, given
+            return surname, NICKNAMES.get(given, given), middle
     text = re.sub(r"\s+", " ", fold_accents(text)).strip()
     parts = [p.strip() for p in text.split(",") if p.strip()]
     parts = [p for i, p in enumerate(parts) if i == 0 or re.sub(r"[^a-z]", "", p.lower()) not in TITLES]
@@ -356,9 +368,9 @@ def profiles(records: DataFrame) -> DataFrame:
 
 
 def _placed(people: DataFrame) -> DataFrame:
-    """One row for each form and place of a person, with what decides a match."""
-    spread = people.select("person", F.struct("person", "givens", "middles", "orcids").alias("who"), F.explode("forms").alias("form"), "places")
-    return spread.select("person", "who", "form.*", F.explode("places").alias("place"))
+    """One row for each form and place of a person, with fingerprints of what tells classes of equal form apart."""
+    known = people.select("person", "forms", "places", F.xxhash64("middles", "orcids").alias("sign"), F.xxhash64("givens").alias("named"), (F.size("givens") == 0).alias("poor"))
+    return known.select("person", "sign", "named", "poor", "places", F.inline("forms")).select("person", "surname", "given", F.explode("places").alias("place"), "sign", "named", "poor")
 
 
 def _alike(x: Column, y: Column) -> Column:
@@ -396,16 +408,17 @@ def _agreed(edges: DataFrame) -> DataFrame:
 
 def _moved(placed: DataFrame, near: DataFrame) -> DataFrame:
     """Forms under the surnames near their own."""
-    return placed.join(near, F.col("surname") == F.col("word")).select("who", F.col("near").alias("surname"), "given", "place")
+    return placed.join(near, F.col("surname") == F.col("word")).select("person", F.col("near").alias("surname"), "given", "place")
 
 
 def _meet(fresh: DataFrame, heads: DataFrame) -> DataFrame:
-    """(w1, w2) of fresh forms and known heads of one surname at one place whose given names may be one."""
-    asked = fresh.select("surname", "place", F.col("given").alias("g1"), F.col("who").alias("w1"))
-    pairs = asked.join(heads.select("surname", "place", F.col("given").alias("g2"), F.col("who").alias("w2")), ["surname", "place"]).where(F.col("w1.person") != F.col("w2.person"))
+    """(p1, p2) of fresh forms and known heads of one surname at one place whose given names may be one."""
+    block = F.xxhash64("surname", "place").alias("block")
+    asked = fresh.select(block, F.col("given").alias("g1"), F.col("person").alias("p1"))
+    pairs = asked.join(heads.select(block, F.col("given").alias("g2"), F.col("person").alias("p2")), "block").where(F.col("p1") != F.col("p2"))
     g1, g2 = F.col("g1"), F.col("g2")
     initial = (F.length(g1) <= 1) | (F.length(g2) <= 1)
-    return pairs.where(F.when(initial, F.substring(g1, 1, 1) == F.substring(g2, 1, 1)).otherwise(_alike(g1, g2))).select("w1", "w2")
+    return pairs.where(F.when(initial, F.substring(g1, 1, 1) == F.substring(g2, 1, 1)).otherwise(_alike(g1, g2))).select("p1", "p2")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -422,8 +435,8 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.where(F.col("person") != F.col("entity"))
 
 
-def _matched(placed: DataFrame, near: DataFrame, fresh: DataFrame | None = None) -> DataFrame:
-    """(a, b), a < b: profiles to merge, of rows of `_placed`. With `fresh` (person) only what these profiles can change.
+def _matched(placed: DataFrame, near: DataFrame, people: DataFrame, fresh: DataFrame | None = None) -> DataFrame:
+    """(a, b), a < b: profiles to merge, of rows of `_placed` of `people`. With `fresh` (person) only what these can change.
 
     That is the pairs with one of them, and all pairs of those initials-only profiles that meet one of them, as such a
     profile is decided over all its candidates.
@@ -435,26 +448,27 @@ def _matched(placed: DataFrame, near: DataFrame, fresh: DataFrame | None = None)
         under = lambda rows: rows.select("surname", "given", "place").unionByName(_moved(rows, near).select("surname", "given", "place"))
         initial = F.substring("given", 1, 1).alias("initial")
         met = under(placed.join(fresh, "person", "left_semi")).select("surname", "place", initial).distinct()
-        poor = placed.where(F.size("who.givens") == 0).withColumn("initial", initial).join(met, ["surname", "place", "initial"], "left_semi").select("person")
+        poor = placed.where("poor").withColumn("initial", initial).join(met, ["surname", "place", "initial"], "left_semi").select("person")
         fresh = cut(fresh.unionByName(poor).distinct())
         blocks = under(placed.join(fresh, "person", "left_semi")).select("surname", "place").distinct()
         placed = placed.join(blocks, ["surname", "place"], "left_semi").join(fresh.withColumn("fresh", F.lit(True)), "person", "left").withColumn("fresh", F.coalesce("fresh", F.lit(False)))
     # equal forms at one place: the class is linked to its smallest member, which speaks for it; where only the initial
     # is equal, given names tell classes apart, and members known by initials only are decided each for itself
-    poor = F.size("who.givens") == 0
-    classes = Window.partitionBy("surname", "place", F.xxhash64("given", "who.middles", "who.orcids", F.when(F.length("given") <= 1, F.col("who.givens"))))
-    placed = cut(placed.withColumn("head", F.min_by("who", "person").over(classes)).withColumn("fresh", F.max("fresh").over(classes)))
-    is_head = F.col("person") == F.col("head.person")
-    starred = placed.where("fresh").where(~is_head).select(F.col("head").alias("w1"), F.col("who").alias("w2"), F.lit(True).alias("twin"))
-    heads = placed.where(is_head).drop("head")
-    asked, members = heads.where("fresh"), placed.where(F.col("fresh") & ~is_head & poor).drop("head")
+    classes = Window.partitionBy("surname", "place", F.xxhash64("given", "sign", F.when(F.length("given") <= 1, F.col("named"))))
+    placed = cut(placed.select("person", "surname", "given", "place", "poor", F.min("person").over(classes).alias("head"), F.max("fresh").over(classes).alias("fresh")))
+    is_head = F.col("person") == F.col("head")
+    starred = placed.where("fresh").where(~is_head).select(F.col("head").alias("p1"), F.col("person").alias("p2"), F.lit(True).alias("twin"))
+    heads = placed.where(is_head)
+    asked, members = heads.where("fresh"), placed.where(F.col("fresh") & ~is_head & F.col("poor"))
     if first:
         # each pair of equal surnames, and each pair of near ones, is met once
-        met = _meet(asked, heads).where(F.col("w1.person") < F.col("w2.person")).unionByName(_meet(_moved(asked, near.where(F.col("word") < F.col("near"))), heads))
+        met = _meet(asked, heads).where(F.col("p1") < F.col("p2")).unionByName(_meet(_moved(asked, near.where(F.col("word") < F.col("near"))), heads))
     else:
         met = _meet(asked, heads).unionByName(_meet(_moved(asked, near), heads))
     rest = _meet(members, heads).unionByName(_meet(_moved(members, near), heads))
-    return _agreed(met.unionByName(rest).withColumn("twin", F.lit(False)).unionByName(starred)).distinct()
+    edges = met.unionByName(rest).withColumn("twin", F.lit(False)).unionByName(starred).distinct()
+    who = lambda side: people.select(F.col("person").alias(f"p{side}"), F.struct("person", "givens", "middles", "orcids").alias(f"w{side}"))
+    return _agreed(edges.join(who(1), "p1").join(who(2), "p2").select("w1", "w2", "twin")).distinct()
 
 
 def _clashing(sets: Column) -> Column:
@@ -525,13 +539,13 @@ def resolve_people(records: DataFrame) -> DataFrame:
     A profile that agrees with several which contradict each other is merged with one of them, see `merge_agreeing`.
     """
     people = cut(profiles(records))
-    placed = cut(_placed(people).repartition("surname", "place"))
+    placed = _placed(people)
     surnames = placed.select(F.col("surname").alias("word")).distinct()
     near = cut(neighbours(surnames, surnames, 5))
     if near.count() <= NEAR_PAIRS:
         near = F.broadcast(near)
     by_orcid = people.select("person", F.explode("orcids").alias("orcid")).withColumn("a", F.min("person").over(Window.partitionBy("orcid"))).where(F.col("person") != F.col("a")).select("a", F.col("person").alias("b"))
-    new = cut(_matched(placed, near).unionByName(by_orcid).distinct())
+    new = cut(_matched(placed, near, people).unionByName(by_orcid).distinct())
     union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
     labels = merged = None
     current = people
@@ -548,9 +562,8 @@ def resolve_people(records: DataFrame) -> DataFrame:
             labels = cut(labels.join(further, "entity", "left").select("person", F.coalesce("to", "entity").alias("entity")).unionByName(step))
             merged = cut(merged.join(named, "person", "left_anti").unionByName(grown))
         gone = labels.select("person").unionByName(labels.select(F.col("entity").alias("person")))
-        current = people.join(gone, "person", "left_anti").unionByName(merged)
-        now = placed.join(gone, "person", "left_anti").unionByName(_placed(merged))
-        new = cut(_matched(now, near, step.select(F.col("entity").alias("person")).distinct()))
+        current = cut(people.join(gone, "person", "left_anti").unionByName(merged))
+        new = cut(_matched(_placed(current), near, current, step.select(F.col("entity").alias("person")).distinct()))
     return labels if labels is not None else people.sparkSession.createDataFrame([], "person string, entity string")
 
 
