@@ -169,7 +169,7 @@ def pack(items: DataFrame, containers: DataFrame) -> DataFrame:
             number += times
         opened[kind] = number
     most = max([1, *(n for h in histograms.values() for n in h.values())])
-    buckets = max(1, min(4096, -(-most // BUCKET_ROWS)))
+    buckets = max(1, -(-most // BUCKET_ROWS))
     classes = spark.sparkContext.broadcast(rounded)
 
     def classify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

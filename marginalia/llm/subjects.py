@@ -128,7 +128,7 @@ def subjects_of(documents: DataFrame, areas: DataFrame, labels: DataFrame, works
     nothing to learn from and no row.
     """
     spark = documents.sparkSession
-    names = {r["subject_name"].strip().lower(): int(r["subject_id"]) for r in areas.where(F.col("subject_id").isNotNull() & F.col("subject_name").isNotNull()).select("subject_id", "subject_name").distinct().limit(10_000).collect()}
+    names = {r["subject_name"].strip().lower(): int(r["subject_id"]) for r in areas.where(F.col("subject_id").isNotNull() & F.col("subject_name").isNotNull()).select("subject_id", "subject_name").distinct().collect()}  # the list of areas, a few rows
     ids = sorted(set(names.values()))
     place = {s: i for i, s in enumerate(ids)}
     known = works.where(F.length("text") > 2).select("work_id", "text", F.regexp_extract("field_id", r"([^/]+/[^/]+)/*$", 1).alias("path"), F.lower(F.trim("field_name")).alias("name"))
