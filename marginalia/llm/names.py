@@ -26,6 +26,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -312,6 +313,8 @@ def leading_forms(parsed: list[tuple[str, str, str]]) -> list[tuple[str, str]]:
     counts: dict[tuple[str, str], int] = {}
     for surname, given, _ in parsed:
         counts[surname, given] = counts.get((surname, given), 0) + 1
+    if len(counts) == 1:
+        return list(counts)
     full = {(s, g[0]) for s, g in counts if len(g) > 1}
     kept = [f for f in counts if len(f[1]) > 1 or (f[0], f[1][:1]) not in full]
 
@@ -328,26 +331,30 @@ def profiles(records: DataFrame) -> DataFrame:
     `records`: person, spellings and places (arrays), orcid; nulls and empty strings in any of them are passed over.
     Persons with neither a name nor an ORCID are left out.
     """
-    single = F.array(F.struct(F.lit("o").alias("kind"), F.col("orcid").alias("value")))
     listed = lambda kind, values: records.select("person", F.lit(kind).alias("kind"), F.explode(values).alias("value"))
-    every = listed("s", "spellings").unionByName(listed("p", "places")).unionByName(records.select("person", F.inline(single)).where(F.col("value") != ""))
+    every = listed("s", "spellings").unionByName(listed("p", "places")).unionByName(records.where(F.col("orcid") != "").select("person", F.lit("o").alias("kind"), F.col("orcid").alias("value")))
     # distinct before they are gathered by person, so that a person with many rows is gathered by its few values
     values = cut(every.distinct().where((F.col("person") != "") & (F.col("value") != "")))
     words = _given_words(values.where("kind = 's'").select(F.col("value").alias("spelling")))
-    text, texts = pa.string(), pa.list_(pa.string())
-    arrow = pa.schema([("person", text), ("forms", pa.list_(pa.struct([("surname", text), ("given", text)]))), *[(n, texts) for n in ("givens", "middles", "places", "orcids")]])
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        """Of (person, forms, givens, middles, places, orcids); forms are pairs."""
+        columns = list(zip(*rows, strict=True)) or [[] for _ in range(6)]
+        offsets = pa.array(np.cumsum([0, *map(len, columns[1])]), pa.int32())
+        pairs = [pa.array([f[i] for forms in columns[1] for f in forms], pa.string()) for i in (0, 1)]
+        forms = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(pairs, ["surname", "given"]))
+        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), forms, *[pa.array(c, pa.list_(pa.string())) for c in columns[2:]]], names=["person", "forms", "givens", "middles", "places", "orcids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parse = lru_cache(100_000)(lambda s: parse_name(s, words))
-        rows: list[dict] = []
+        rows: list[tuple] = []
         person: str | None = None
         held: dict[str, list[str]] = {"s": [], "p": [], "o": []}
 
         def close() -> None:
             parsed = [p for p in map(parse, held["s"]) if p]
             if parsed or held["o"]:
-                forms = [{"surname": s, "given": g} for s, g in leading_forms(parsed)]
-                rows.append({"person": person, "forms": forms, "givens": sorted({p[1] for p in parsed if len(p[1]) > 1}), "middles": sorted({c for p in parsed for c in p[2]}), "places": held["p"], "orcids": held["o"]})
+                rows.append((person, leading_forms(parsed), sorted({p[1] for p in parsed if len(p[1]) > 1}), sorted({c for p in parsed for c in p[2]}), held["p"], held["o"]))
 
         for b in batches:
             for who, kind, value in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -357,11 +364,11 @@ def profiles(records: DataFrame) -> DataFrame:
                     person, held = who, {"s": [], "p": [], "o": []}
                 held[kind].append(value)
             if len(rows) >= 5_000:
-                yield pa.RecordBatch.from_pylist(rows, arrow)
+                yield batch(rows)
                 rows.clear()
         if person is not None:
             close()
-        yield pa.RecordBatch.from_pylist(rows, arrow)
+        yield batch(rows)
 
     schema = T.StructType([T.StructField("person", T.StringType()), T.StructField("forms", T.ArrayType(_FORM)), *[T.StructField(n, _STRINGS) for n in ("givens", "middles", "places", "orcids")]])
     return values.repartition("person").sortWithinPartitions("person", "kind", "value").mapInArrow(run, schema)
