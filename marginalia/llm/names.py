@@ -157,8 +157,9 @@ def parse_name(text: str, given_words: frozenset[str] = frozenset()) -> tuple[st
 def one_edit(a: Column, b: Column) -> Column:
     """Whether two words are equal, one edit or one swap of neighbours apart."""
     at = F.length(F.regexp_extract(F.concat(a, F.lit("\u0000"), b), "^([^\u0000]*)[^\u0000]*\u0000\\1", 1))
-    swapped = (F.length(a) == F.length(b)) & (F.levenshtein(a, b) == 2) & (F.concat(F.substr(a, F.lit(1), at), F.substr(a, at + 2, F.lit(1)), F.substr(a, at + 1, F.lit(1)), F.substr(a, at + 3)) == b)
-    return (a == b) | (F.levenshtein(a, b) <= 1) | swapped
+    distance = F.levenshtein(a, b, 2)  # -1 beyond 2
+    swapped = (F.length(a) == F.length(b)) & (distance == 2) & (F.concat(F.substr(a, F.lit(1), at), F.substr(a, at + 2, F.lit(1)), F.substr(a, at + 1, F.lit(1)), F.substr(a, at + 3)) == b)
+    return (a == b) | distance.isin(0, 1) | swapped
 
 
 def _drops(word: Column) -> Column:
@@ -174,6 +175,14 @@ def neighbours(words: DataFrame, known: DataFrame, least: int) -> DataFrame:
     return a.join(b, "cut").where((F.col("word") != F.col("near")) & one_edit(F.col("word"), F.col("near"))).select("word", "near").distinct()
 
 
+def neighbours_within(words: DataFrame, least: int) -> DataFrame:
+    """`neighbours` of the words among themselves: each pair is compared in one direction and given in both."""
+    spread = words.where(F.length("word") >= least).select("word", F.explode(_drops(F.col("word"))).alias("cut"))
+    pairs = spread.join(spread.select(F.col("word").alias("near"), "cut"), "cut").where(F.col("word") < F.col("near")).select("word", "near").distinct().where(one_edit(F.col("word"), F.col("near")))
+    both = F.explode(F.array(F.struct("word", "near"), F.struct(F.col("near").alias("word"), F.col("word").alias("near"))))
+    return pairs.select(both.alias("p")).select("p.*")
+
+
 # ---- organisations ----
 
 
@@ -548,7 +557,7 @@ def resolve_people(records: DataFrame) -> DataFrame:
     people = cut(profiles(records))
     placed = _placed(people)
     surnames = placed.select(F.col("surname").alias("word")).distinct()
-    near = cut(neighbours(surnames, surnames, 5))
+    near = cut(neighbours_within(surnames, 5))
     if near.count() <= NEAR_PAIRS:
         near = F.broadcast(near)
     by_orcid = people.select("person", F.explode("orcids").alias("orcid")).withColumn("a", F.min("person").over(Window.partitionBy("orcid"))).where(F.col("person") != F.col("a")).select("a", F.col("person").alias("b"))

@@ -51,6 +51,7 @@ def test_one_edit_and_neighbours(spark):
     table = spark.createDataFrame([(w,) for w in words], "word string")
     got = {tuple(r) for r in names.neighbours(table, table, 4).collect()}
     assert got == {(a, b) for a in words for b in words if a != b and names.edited(a, b)}
+    assert sorted(tuple(r) for r in names.neighbours_within(table, 4).collect()) == sorted(got)
 
 
 def records(spark, rows):
