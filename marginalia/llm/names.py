@@ -162,22 +162,26 @@ def one_edit(a: Column, b: Column) -> Column:
     return (a == b) | distance.isin(0, 1) | swapped
 
 
-def _drops(word: Column) -> Column:
-    """The word and the word without each of its letters: two words one edit or swap apart share one of these."""
-    return F.array_distinct(F.transform(F.sequence(F.lit(0), F.length(word)), lambda i: F.concat(F.substr(word, F.lit(1), F.greatest(i - 1, F.lit(0))), F.when(i == 0, word).otherwise(F.substr(word, i + 1)))))
+def _dropped(words: DataFrame, least: int) -> DataFrame:
+    """(word, cut) of the words of at least `least` letters: the word, and the word without each of its letters.
+
+    Two words one edit or swap apart share a cut. Of equal letters in a row only the first is dropped.
+    """
+    word, at = F.col("word"), F.col("at")
+    spread = words.where(F.length("word") >= least).select("word", F.explode(F.sequence(F.lit(0), F.length("word"))).alias("at"))
+    spread = spread.where((at < 2) | (F.substr(word, at, F.lit(1)) != F.substr(word, at - 1, F.lit(1))))
+    return spread.select("word", F.when(at == 0, word).otherwise(F.concat(F.substr(word, F.lit(1), at - 1), F.substr(word, at + 1))).alias("cut"))
 
 
 def neighbours(words: DataFrame, known: DataFrame, least: int) -> DataFrame:
     """(word, near) with `near` of `known.word` one edit from `word`; both of at least `least` letters, not equal."""
-    long = lambda df: df.where(F.length("word") >= least)
-    a = long(words).select("word", F.explode(_drops(F.col("word"))).alias("cut"))
-    b = long(known).select(F.col("word").alias("near"), F.explode(_drops(F.col("word"))).alias("cut"))
-    return a.join(b, "cut").where((F.col("word") != F.col("near")) & one_edit(F.col("word"), F.col("near"))).select("word", "near").distinct()
+    near = _dropped(known, least).withColumnRenamed("word", "near")
+    return _dropped(words, least).join(near, "cut").where((F.col("word") != F.col("near")) & one_edit(F.col("word"), F.col("near"))).select("word", "near").distinct()
 
 
 def neighbours_within(words: DataFrame, least: int) -> DataFrame:
     """`neighbours` of the words among themselves: each pair is compared in one direction and given in both."""
-    spread = words.where(F.length("word") >= least).select("word", F.explode(_drops(F.col("word"))).alias("cut"))
+    spread = _dropped(words, least)
     pairs = spread.join(spread.select(F.col("word").alias("near"), "cut"), "cut").where(F.col("word") < F.col("near")).select("word", "near").distinct().where(one_edit(F.col("word"), F.col("near")))
     both = F.explode(F.array(F.struct("word", "near"), F.struct(F.col("near").alias("word"), F.col("word").alias("near"))))
     return pairs.select(both.alias("p")).select("p.*")
@@ -245,37 +249,45 @@ def link_organisations(mentions: DataFrame, institutions: DataFrame) -> DataFram
     texts = mentions.where(F.col("text") != "").select("text").distinct()
     segments = texts.select("text", F.posexplode(_segments("text")).alias("at", "s")).select("text", "at", "s.words", "s.country")
     segments = cut(segments.withColumn("segment", F.xxhash64("text", "at")))
-    words = segments.select(F.explode("words").alias("word")).distinct()
     elements = ways.select(F.explode("elements").alias("element")).distinct()
-    acronyms = elements.where(F.col("element").startswith("=")).select(F.expr("substring(element, 2)").alias("word"), "element", F.lit(0).alias("edits"))
-    plain = elements.where(~F.col("element").startswith("="))
-    spellings = plain.select(F.explode(F.array(F.col("element"), F.concat("element", F.lit("er")))).alias("word"), "element").unionByName(words.sparkSession.createDataFrame(sorted(ELEMENT.items()), "word string, element string"))
-    vocabulary = spellings.distinct()
+    acronym = F.col("element").startswith("=")
+    exact = elements.select(F.explode(F.when(acronym, F.array(F.expr("substring(element, 2)"))).otherwise(F.array(F.col("element"), F.concat("element", F.lit("er"))))).alias("word"), "element")
+    exact = exact.unionByName(ways.sparkSession.createDataFrame(sorted(ELEMENT.items()), "word string, element string")).distinct()
+    # what was learned last, at first all; acronyms have no misspellings
+    learned = exact.withColumn("plain", ~acronym)
+    known = learned.where("plain").select("word").distinct()
     found: DataFrame | None = None
+    looked: DataFrame | None = None
     rest = segments
     while True:
-        known = vocabulary.select("word").distinct()
-        near = neighbours(words.join(known, "word", "left_anti"), known, 4)
-        looked = words.join(vocabulary, "word").select("word", "element", F.lit(0).alias("edits")).unionByName(words.join(acronyms, "word").select("word", "element", "edits"))
-        looked = looked.unionByName(near.join(vocabulary.withColumnRenamed("word", "near"), "near").select("word", "element", F.lit(1).alias("edits"))).groupBy("word", "element").agg(F.min("edits").alias("edits"))
-        held = rest.select("segment", "country", F.explode("words").alias("word")).join(looked, "word").groupBy("segment", "country", "element").agg(F.min("edits").alias("edits"), F.min_by("word", "edits").alias("word"))
+        words = rest.select(F.explode("words").alias("word")).distinct()
+        plain = learned.where("plain").select(F.col("word").alias("near"), "element")
+        near = neighbours(words.join(known, "word", "left_anti"), plain.select(F.col("near").alias("word")).distinct(), 4)
+        told = words.join(learned, "word").select("word", "element", F.lit(0).alias("edits")).unionByName(near.join(plain, "near").select("word", "element", F.lit(1).alias("edits")))
+        if looked is not None:
+            # only segments with a word that is read anew can name something now
+            told = cut(told)
+            anew = rest.select("segment", F.explode("words").alias("word")).join(told.select("word").distinct(), "word", "left_semi").select("segment").distinct()
+            told, asked = told.unionByName(looked), rest.join(anew, "segment", "left_semi")
+        else:
+            asked = rest
+        looked = cut(told.groupBy("word", "element").agg(F.min("edits").alias("edits")))
+        held = asked.select("segment", "country", F.explode("words").alias("word")).join(looked, "word").groupBy("segment", "country", "element").agg(F.min("edits").alias("edits"), F.min_by("word", "edits").alias("word"))
         sets = held.groupBy("segment").agg(F.collect_set("element").alias("has"))
         anchored = held.join(ways.withColumnRenamed("country", "home"), held["element"] == ways["anchor"]).join(sets, "segment").where(F.size(F.array_except("elements", "has")) == 0)
         per = Window.partitionBy("segment")
-        told = F.when(F.col("country").isNull() | F.col("home").isNull() | (F.col("edits") == 0), 0).otherwise(F.when(F.col("country") == F.col("home"), 0).otherwise(1))
-        ranked = anchored.withColumn("rank", F.struct(F.col("edits"), told.alias("told"))).withColumn("best", F.min("rank").over(per)).where(F.col("rank") == F.col("best"))
+        abroad = F.when(F.col("country").isNull() | F.col("home").isNull() | (F.col("edits") == 0), 0).otherwise(F.when(F.col("country") == F.col("home"), 0).otherwise(1))
+        ranked = anchored.withColumn("rank", F.struct(F.col("edits"), abroad.alias("abroad"))).withColumn("best", F.min("rank").over(per)).where(F.col("rank") == F.col("best"))
         # one misspelt word that fits two places
         single = ranked.withColumn("fits", F.size(F.collect_set("anchor").over(Window.partitionBy("segment", "word")))).where((F.col("edits") == 0) | (F.col("fits") == 1))
         new = cut(single.select("segment", "institution_id", "word", "anchor", "edits").distinct())
         found = new if found is None else found.unionByName(new)
         # spellings of merged segments, where the misspelt word is near one element only
         alone = looked.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 1).select("word")
-        learned = new.where(F.col("edits") > 0).select("word", F.col("anchor").alias("element")).distinct().join(alone, "word", "left_semi")
-        learned = learned.join(vocabulary, ["word", "element"], "left_anti")
-        rest = rest.join(new.select("segment"), "segment", "left_anti")
-        if learned.isEmpty() or rest.isEmpty():
+        learned = cut(new.where(F.col("edits") > 0).select("word", F.col("anchor").alias("element")).distinct().join(alone, "word", "left_semi").withColumn("plain", F.lit(True)))
+        if learned.isEmpty():
             break
-        vocabulary, rest = cut(vocabulary.unionByName(learned)), cut(rest)
+        known, rest = known.unionByName(learned.select("word")), cut(rest.join(new.select("segment"), "segment", "left_anti"))
     named = found.join(segments.select("segment", "text"), "segment").select("text", "institution_id").distinct()
     return mentions.drop("institution_id").join(named, "text").drop("text").distinct()
 
@@ -291,12 +303,14 @@ NEAR_PAIRS = 200_000
 def _given_words(spellings: DataFrame) -> frozenset[str]:
     """The words that stand first in two-word names much more often than last; see GIVEN_SHARE."""
     words = F.split(F.lower(F.trim("spelling")), r"\s+")
-    plain = spellings.select(words.alias("w")).where((F.size("w") == 2) & ~F.col("w")[0].contains(",") & (F.length(F.col("w")[0]) > 2) & (F.length(F.col("w")[1]) > 2))
+    # exploded, so that names are split once, not for each use
+    plain = spellings.select(F.explode(F.array(words)).alias("w")).where((F.size("w") == 2) & ~F.col("w")[0].contains(",") & (F.length(F.col("w")[0]) > 2) & (F.length(F.col("w")[1]) > 2))
     ends = plain.select(F.explode(F.array(F.struct(F.col("w")[0].alias("word"), F.lit(1).alias("first")), F.struct(F.col("w")[1].alias("word"), F.lit(0).alias("first")))).alias("e")).select("e.*")
     counts = ends.groupBy("word").agg(F.sum("first").alias("first"), F.count(F.lit(1)).alias("n"))
     # three of four, with one name more that says the opposite
-    told = counts.where(F.col("first") * 4 >= (F.col("n") + 1) * 3).join(F.broadcast(plain.agg(F.count(F.lit(1)).alias("all"))), F.col("n") * GIVEN_SHARE >= F.col("all")).select("word")
-    return frozenset(re.sub("['-]", "", fold_accents(r["word"])).lower() for r in told.toLocalIterator())
+    ends_all = F.broadcast(counts.agg(F.sum("n").alias("ends")))  # two a name
+    told = counts.where(F.col("first") * 4 >= (F.col("n") + 1) * 3).join(ends_all, F.col("n") * 2 * GIVEN_SHARE >= F.col("ends")).select("word")
+    return frozenset(re.sub("['-]", "", fold_accents(r["word"])).lower() for r in told.collect())
 
 
 def edited(a: str, b: str) -> bool:
@@ -340,8 +354,8 @@ def profiles(records: DataFrame) -> DataFrame:
     `records`: person, spellings and places (arrays), orcid; nulls and empty strings in any of them are passed over.
     Persons with neither a name nor an ORCID are left out.
     """
-    listed = lambda kind, values: records.select("person", F.lit(kind).alias("kind"), F.explode(values).alias("value"))
-    every = listed("s", "spellings").unionByName(listed("p", "places")).unionByName(records.where(F.col("orcid") != "").select("person", F.lit("o").alias("kind"), F.col("orcid").alias("value")))
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("values")) for k, v in (("s", F.col("spellings")), ("p", F.col("places")), ("o", F.array("orcid")))])).alias("k")
+    every = records.select("person", kinds).select("person", "k.kind", F.explode("k.values").alias("value"))
     # distinct before they are gathered by person, so that a person with many rows is gathered by its few values
     values = cut(every.distinct().where((F.col("person") != "") & (F.col("value") != "")))
     words = _given_words(values.where("kind = 's'").select(F.col("value").alias("spelling")))
@@ -394,7 +408,7 @@ def _alike(x: Column, y: Column) -> Column:
 
 
 def _agreed(edges: DataFrame) -> DataFrame:
-    """Of (w1, w2, twin), profiles that met in a block, twins in the same class, the pairs (a, b) to merge, a < b."""
+    """Of (w1, w2, twin), distinct profiles w1 < w2 that met in a block, twins in the same class, the pairs (a, b) to merge, a < b."""
     one, two = F.col("w1"), F.col("w2")
 
     def clash(name: str) -> Column:
@@ -404,12 +418,11 @@ def _agreed(edges: DataFrame) -> DataFrame:
     same_orcid = F.arrays_overlap(one["orcids"], two["orcids"])
     agree = F.exists(one["givens"], lambda x: F.exists(two["givens"], lambda y: _alike(x, y)))
     kept = edges.where(same_orcid | (~clash("orcids") & ~clash("middles") & (~(full_1 & full_2) | agree)))
-    a, b = F.least(one["person"], two["person"]), F.greatest(one["person"], two["person"])
     strong = same_orcid | (full_1 & full_2)
-    flat = kept.select(a.alias("a"), b.alias("b"), "twin", strong.alias("strong"), (full_1 | full_2).alias("named"), F.when(full_1, two["person"]).otherwise(one["person"]).alias("poor"), F.when(full_1, one["person"]).otherwise(two["person"]).alias("rich"), F.when(full_1, one["givens"]).otherwise(two["givens"]).alias("givens"))
-    flat = cut(flat.distinct())
+    flat = kept.select(one["person"].alias("a"), two["person"].alias("b"), "twin", strong.alias("strong"), (full_1 | full_2).alias("named"), F.when(full_1, two["person"]).otherwise(one["person"]).alias("poor"), F.when(full_1, one["person"]).otherwise(two["person"]).alias("rich"), F.when(full_1, one["givens"]).otherwise(two["givens"]).alias("givens"))
+    flat = cut(flat)
     # a profile known by initials only: merged with candidates that have a given name if all of these share one
-    weak = flat.where(~F.col("strong") & F.col("named")).select("poor", "rich", F.explode("givens").alias("given")).distinct()
+    weak = flat.where(~F.col("strong") & F.col("named")).select("poor", "rich", F.explode("givens").alias("given")).repartition("poor").distinct()
     votes = weak.groupBy("poor", "given").agg(F.count(F.lit(1)).alias("n")).groupBy("poor").agg(F.max("n").alias("agreed"))
     decided = cut(votes.join(weak.groupBy("poor").agg(F.count_distinct("rich").alias("riches")), "poor").select("poor", (F.col("agreed") == F.col("riches")).alias("sure")))
     by_name = flat.where(~F.col("strong") & F.col("named")).join(decided.where("sure"), "poor", "left_semi")
@@ -427,19 +440,22 @@ def _moved(placed: DataFrame, near: DataFrame) -> DataFrame:
     return placed.join(near, F.col("surname") == F.col("word")).select("person", F.col("near").alias("surname"), "given", "place")
 
 
-def _meet(fresh: DataFrame, heads: DataFrame) -> DataFrame:
-    """(p1, p2) of fresh forms and known heads of one surname at one place whose given names may be one."""
+def _meet(fresh: DataFrame, heads: DataFrame, once: bool = False) -> DataFrame:
+    """(p1, p2) of fresh forms and known heads of one surname at one place whose given names may be one; `once`: p1 < p2."""
     block = F.xxhash64("surname", "place").alias("block")
     asked = fresh.select(block, F.col("given").alias("g1"), F.col("person").alias("p1"))
-    pairs = asked.join(heads.select(block, F.col("given").alias("g2"), F.col("person").alias("p2")), "block").where(F.col("p1") != F.col("p2"))
+    pairs = asked.join(heads.select(block, F.col("given").alias("g2"), F.col("person").alias("p2")), "block").where(F.col("p1") < F.col("p2") if once else F.col("p1") != F.col("p2"))
     g1, g2 = F.col("g1"), F.col("g2")
     initial = (F.length(g1) <= 1) | (F.length(g2) <= 1)
     return pairs.where(F.when(initial, F.substring(g1, 1, 1) == F.substring(g2, 1, 1)).otherwise(_alike(g1, g2))).select("p1", "p2")
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(person, entity) of (a, b): entity is the smallest person that a chain of edges reaches, and itself no row."""
-    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    """(person, entity) of (a, b): entity is the smallest person that a chain of edges reaches, and itself no row.
+
+    `edges` is read in each round, so it should come from `cut`, as the result does.
+    """
+    both = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
     labels = cut(both.groupBy(F.col("a").alias("person")).agg(F.least(F.min("b"), F.col("person")).alias("entity")))
     while True:
         heard = both.join(labels.select(F.col("person").alias("b"), "entity"), "b").groupBy(F.col("a").alias("person")).agg(F.min("entity").alias("heard"))
@@ -452,7 +468,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _matched(placed: DataFrame, near: DataFrame, people: DataFrame, fresh: DataFrame | None = None) -> DataFrame:
-    """(a, b), a < b: profiles to merge, of rows of `_placed` of `people`. With `fresh` (person) only what these can change.
+    """(a, b), a < b, repeated: profiles to merge, of rows of `_placed` of `people`. With `fresh` (person) only what these can change.
 
     That is the pairs with one of them, and all pairs of those initials-only profiles that meet one of them, as such a
     profile is decided over all its candidates.
@@ -478,13 +494,13 @@ def _matched(placed: DataFrame, near: DataFrame, people: DataFrame, fresh: DataF
     asked, members = heads.where("fresh"), placed.where(F.col("fresh") & ~is_head & F.col("poor"))
     if first:
         # each pair of equal surnames, and each pair of near ones, is met once
-        met = _meet(asked, heads).where(F.col("p1") < F.col("p2")).unionByName(_meet(_moved(asked, near.where(F.col("word") < F.col("near"))), heads))
+        met = _meet(asked, heads, once=True).unionByName(_meet(_moved(asked, near.where(F.col("word") < F.col("near"))), heads))
     else:
         met = _meet(asked, heads).unionByName(_meet(_moved(asked, near), heads))
     rest = _meet(members, heads).unionByName(_meet(_moved(members, near), heads))
-    edges = met.unionByName(rest).withColumn("twin", F.lit(False)).unionByName(starred).distinct()
+    edges = met.unionByName(rest).withColumn("twin", F.lit(False)).unionByName(starred).select(F.least("p1", "p2").alias("p1"), F.greatest("p1", "p2").alias("p2"), "twin").distinct()
     who = lambda side: people.select(F.col("person").alias(f"p{side}"), F.struct("person", "givens", "middles", "orcids").alias(f"w{side}"))
-    return _agreed(edges.join(who(1), "p1").join(who(2), "p2").select("w1", "w2", "twin")).distinct()
+    return _agreed(edges.join(who(1), "p1").join(who(2), "p2").select("w1", "w2", "twin"))
 
 
 def _clashing(sets: Column) -> Column:
@@ -529,7 +545,7 @@ def _settled(edges: DataFrame, current: DataFrame) -> DataFrame:
     Two profiles that agree may each agree with a third one and contradict each other through it; chains that hold such
     profiles are followed edge by edge, each chain in one task.
     """
-    entity = cut(components(edges))
+    entity = components(edges)
     named = entity.unionByName(entity.select(F.col("entity").alias("person"), "entity").distinct())
     known = named.join(current, "person")
     doubtful = cut(known.groupBy("entity").agg(F.collect_set("middles").alias("m"), F.collect_set("orcids").alias("o")).where(_clashing(F.col("m")) | _clashing(F.col("o"))).select("entity"))
@@ -556,7 +572,7 @@ def resolve_people(records: DataFrame) -> DataFrame:
     """
     people = cut(profiles(records))
     placed = _placed(people)
-    surnames = placed.select(F.col("surname").alias("word")).distinct()
+    surnames = people.where(F.size("places") > 0).select(F.explode("forms.surname").alias("word")).distinct()
     near = cut(neighbours_within(surnames, 5))
     if near.count() <= NEAR_PAIRS:
         near = F.broadcast(near)
@@ -579,7 +595,7 @@ def resolve_people(records: DataFrame) -> DataFrame:
             merged = cut(merged.join(named, "person", "left_anti").unionByName(grown))
         gone = labels.select("person").unionByName(labels.select(F.col("entity").alias("person")))
         current = cut(people.join(gone, "person", "left_anti").unionByName(merged))
-        new = cut(_matched(_placed(current), near, current, step.select(F.col("entity").alias("person")).distinct()))
+        new = cut(_matched(_placed(current), near, current, step.select(F.col("entity").alias("person")).distinct()).distinct())
     return labels if labels is not None else people.sparkSession.createDataFrame([], "person string, entity string")
 
 

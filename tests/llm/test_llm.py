@@ -125,6 +125,25 @@ def test_organisations(spark):
     assert names.link_organisations(mentions, registry.limit(0)).count() == 0
 
 
+def test_few_jobs(spark):
+    # each job has a plan in the driver's memory
+    def jobs(run):
+        before = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+        got = {tuple(r) for r in run().collect()}
+        return spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs() - before, got
+
+    registry = spark.createDataFrame([("I1", "University of Gizia", None, "Gizia", "IN"), ("I2", "Klinikum Dezelt", None, "Dezelt", "MX")], "institution_id string, display_name string, acronym string, city string, country_code string")
+    # Gizziia is one edit from Gizzia, which the first string teaches
+    texts = [(1, "University of Gizzia"), (2, "Gizziia University"), (3, "Hospital, Dezelt"), (4, "Gizzia Law School; Univ. Gizziia"), (5, "Nowhere")]
+    n, got = jobs(lambda: names.link_organisations(spark.createDataFrame(texts, "mention_id int, text string"), registry))
+    assert got == {(1, "I1"), (2, "I1"), (3, "I2"), (4, "I1")}
+    assert n <= 110
+    rows = [("A1", ["Rosa Velmark"], ["I1"], "o"), ("A2", ["Rosa Tornquist"], ["I2"], "o"), ("A3", ["Rosa Velmark"], ["I2"], None), ("A4", ["R. Velmark"], ["I2"], None)]
+    n, got = jobs(lambda: names.resolve_people(records(spark, rows)))
+    assert got == {("A2", "A1"), ("A3", "A1"), ("A4", "A1")}
+    assert n <= 140
+
+
 # ---- markup ----
 
 MARKED = [
